@@ -34,4 +34,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from contrail.plans import q_kpi  # noqa: F401
+    from contrail.plans import q_kpi, q_trend  # noqa: F401
