@@ -31,7 +31,12 @@ def _d(x) -> Column:
 
 def flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as flight events (FIXTURES.md B1)."""
-    ev = read_table(spark, sf_dir, "events")
+    return events_as_flights(read_table(spark, sf_dir, "events"))
+
+
+def events_as_flights(ev: DataFrame) -> DataFrame:
+    """The B1 mapping as a narrow projection: works on a batch or a stream
+    of ``events`` rows."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     v = F.floor("value").cast("double") - _d(20)
     cause = {c: F.when((F.col("value") >= 20) & (F.col("event_id") % 4 == i), v)
