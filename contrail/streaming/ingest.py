@@ -51,6 +51,11 @@ class Stores:
     def cold(self) -> str:
         return self.path("cold")
 
+    @property
+    def cold_archive(self) -> str:
+        """Cold store written by the retention job."""
+        return self.path("cold_archive")
+
     @property
     def quarantine(self) -> str:
         return self.path("quarantine")
@@ -72,13 +77,14 @@ def default_stores(spark: SparkSession, name: str = "stores") -> Stores:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
+    """True when ``path`` holds table data: the folder exists and has a
+    visible entry (a data file or a partition folder)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
         return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
 def prepare(decoded: DataFrame, *, predictor=predict_b, processing_time=None) -> DataFrame:
