@@ -155,6 +155,6 @@ def purge(spark: SparkSession, stores: Stores, cutoff: dt.datetime) -> None:
             staging = f"{stores.path('_staging')}/event_date={d}"
             keep = (spark.read.parquet(hot_path).where(F.col("event_date") == F.lit(d))
                     .where(F.col("timestamp") >= F.lit(cutoff).cast("timestamp_ntz")).drop("event_date"))
-            keep.write.mode("overwrite").parquet(staging)
+            keep.write.mode("overwrite").partitionBy("batch_key").parquet(staging)
             fs.delete(part, True)
             fs.rename(Path(staging), part)

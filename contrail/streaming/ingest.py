@@ -4,8 +4,8 @@ stream -> decode -> clean -> predict -> ``foreachBatch(fan_out)``:
 
 * hot store: keyed **insert-ignore** on ``flight_id`` (dedup inside the
   batch, ``left_anti`` against the hot rows of the same event dates, so
-  dynamic partition pruning reads only those dates), appended and
-  partitioned by ``event_date``; rows carry their ``batch_key``;
+  dynamic partition pruning reads only those dates), written under
+  ``event_date=D/batch_key=K`` with dynamic partition overwrite;
 * quarantine: rows whose id is NULL (they can never match a key);
 * cold archive: the batch's archive columns under ``batch_key=<run>-N``;
 * warehouse: staging, fact and prediction rows, partitioned by date and
@@ -133,8 +133,9 @@ def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int
             .partitionBy("processing_date", "batch_key").parquet(stores.warehouse("fact_flight_events"))
         prediction_projection(new).withColumn("batch_key", F.lit(bk)).write.mode("overwrite") \
             .partitionBy("prediction_date", "batch_key").parquet(stores.warehouse("predictions"))
-        # Hot store last: once it holds the rows, the batch is complete.
-        new.write.mode("append").partitionBy("event_date").parquet(stores.hot)
+        # Hot store last: once it holds the rows, the batch is complete.  A
+        # retry replaces exactly this batch's (event_date, batch_key) folders.
+        new.write.mode("overwrite").partitionBy("event_date", "batch_key").parquet(stores.hot)
         size_mb = 0.0
         if int(metrics.get("record_count", 0)) > 0:
             size_mb = (spark.read.parquet(cold_path).select("_metadata.file_path", "_metadata.file_size")
