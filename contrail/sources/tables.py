@@ -14,13 +14,26 @@ from pyspark.sql import functions as F
 
 from contrail.schema import CAUSE_COLUMNS
 
+# Tables whose rows carry per-row work (the others are dimensions).
+_FACT_TABLES = {"events", "lineitem", "orders"}
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guard for under-split inputs: a scan with fewer partitions than the
+    cluster's parallelism (e.g. one Parquet row group) is spread
+    round-robin so per-row work runs on every core.  A large table has
+    far more splits than cores and is returned untouched (no shuffle)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_small: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small and name in _FACT_TABLES else df
 
 
 def _d(x) -> Column:

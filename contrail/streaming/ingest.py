@@ -31,6 +31,7 @@ from contrail.operators.predict import fact_projection, predict_b, prediction_pr
 from contrail.schema import ARCHIVE_COLUMNS
 from contrail.session import checkpoint_dir
 from contrail.sources.stream import decode_events
+from contrail.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,7 @@ def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int
     restart at 0 with a fresh checkpoint)."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     bk = f"{stores.run}-{batch_id}"
-    rows = (batch.withColumn("event_date", F.to_date("timestamp"))
+    rows = (spread(batch).withColumn("event_date", F.to_date("timestamp"))
             .withColumn("batch_key", F.lit(bk))
             .persist())
     try:
