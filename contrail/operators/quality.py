@@ -91,7 +91,25 @@ def schema_table(df: DataFrame) -> DataFrame:
 
 
 def json_schema(df: DataFrame, col: str) -> DataFrame:
-    """S7 for JSON text: the schema merged over **all** rows."""
-    return df.agg(F.schema_of_json_agg(F.col(col)).alias("schema")) \
-        if hasattr(F, "schema_of_json_agg") else \
-        df.selectExpr(f"schema_of_json_agg({col}) AS schema")
+    """S7 for JSON text: the type of every top-level key merged over **all**
+    rows (one distributed aggregate, no sampling): ``bigint`` when every
+    value is an integer, ``double`` when every value is numeric,
+    ``boolean``, ``struct``/``array`` for nested values, else ``string``."""
+    kv = (df.select(F.col(col).alias("_j")).where(F.col("_j").isNotNull())
+          .select("_j", F.explode(F.json_object_keys("_j")).alias("field"))
+          .select("field", F.expr("get_json_object(_j, concat('$.', field))").alias("v")))
+    v = F.col("v")
+    present = v.isNotNull()
+    agg = kv.groupBy("field").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(present).alias("non_null"),
+        F.count_if(present & v.try_cast("bigint").isNull()).alias("_not_int"),
+        F.count_if(present & v.try_cast("double").isNull()).alias("_not_num"),
+        F.count_if(present & ~F.lower(v).isin("true", "false")).alias("_not_bool"),
+        F.count_if(present & ~v.startswith("{")).alias("_not_obj"),
+        F.count_if(present & ~v.startswith("[")).alias("_not_arr"),
+    )
+    t = (F.when(F.col("non_null") == 0, "null").when(F.col("_not_int") == 0, "bigint")
+         .when(F.col("_not_num") == 0, "double").when(F.col("_not_bool") == 0, "boolean")
+         .when(F.col("_not_obj") == 0, "struct").when(F.col("_not_arr") == 0, "array").otherwise("string"))
+    return agg.select("field", t.alias("type"), "rows", "non_null")

@@ -130,3 +130,22 @@ def rows_per_date(df: DataFrame, ts_col: str = "ingestion_timestamp") -> DataFra
             .groupBy(F.to_date(ts_col).alias("date"))
             .agg(F.count(F.lit(1)).alias("record_count")))
 
+
+
+# The range presets of the streaming page.
+RANGE_PRESETS = {"1h": "1 HOUR", "6h": "6 HOURS", "24h": "24 HOURS"}
+
+
+def in_range(df: DataFrame, as_of, preset: str = "24h", ts_col: str = "timestamp") -> DataFrame:
+    """P25: rows of the last 1 / 6 / 24 hours before ``as_of`` (``all`` =
+    since 2020-01-01); a plain timestamp predicate, pushed into the scan."""
+    t = F.col(ts_col)
+    if preset == "all":
+        return df.where(t >= F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
+    return df.where(t >= _ts(as_of) - F.expr(f"INTERVAL {RANGE_PRESETS[preset]}"))
+
+
+def date_parts(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
+    """Calendar date, hour and day name of each row."""
+    return df.withColumns({"date": F.to_date(ts_col), "hour": F.hour(ts_col),
+                           "day_name": F.date_format(ts_col, "EEEE")})

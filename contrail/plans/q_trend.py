@@ -132,3 +132,25 @@ SELECT CAST("timestamp" AS DATE) AS date, count(*) AS record_count
 FROM hot WHERE "timestamp" IS NOT NULL GROUP BY 1"""))
 def records_by_date(spark, sf):
     return trend.rows_per_date(hot_events(spark, sf), "timestamp")
+
+
+@register("range_last_24h", with_hot(f"""
+SELECT count(*) AS flights, round(avg(dep_delay), 6) AS avg_delay, count(DISTINCT airline_code) AS airlines
+FROM hot WHERE "timestamp" >= {AS_OF} - INTERVAL 24 HOUR"""))
+def range_last_24h(spark, sf):
+    """P25: the last-24-hours preset."""
+    from pyspark.sql import functions as F
+    return trend.in_range(hot_events(spark, sf), SPARK_AS_OF, "24h").agg(
+        F.count(F.lit(1)).alias("flights"), F.avg("dep_delay").alias("avg_delay"),
+        F.count_distinct("airline_code").alias("airlines"))
+
+
+@register("date_parts_by_day_name", with_hot("""
+SELECT dayname("timestamp") AS day_name, CAST(hour("timestamp") AS INTEGER) AS hour, count(*) AS flights,
+       count(DISTINCT CAST("timestamp" AS DATE)) AS dates
+FROM hot GROUP BY 1, 2"""))
+def date_parts_by_day_name(spark, sf):
+    """Flights per (day name, hour) and the number of dates behind each."""
+    from pyspark.sql import functions as F
+    return (trend.date_parts(hot_events(spark, sf)).groupBy("day_name", "hour")
+            .agg(F.count(F.lit(1)).alias("flights"), F.count_distinct("date").alias("dates")))
