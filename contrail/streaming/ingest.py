@@ -31,6 +31,7 @@ from contrail.operators.predict import fact_projection, predict_b, prediction_pr
 from contrail.schema import ARCHIVE_COLUMNS
 from contrail.session import checkpoint_dir
 from contrail.sources.stream import decode_events
+from contrail.operators.enrich import safe_broadcast
 from contrail.sources.tables import spread
 
 
@@ -97,13 +98,24 @@ def prepare(decoded: DataFrame, *, predictor=predict_b, processing_time=None) ->
 def insert_ignore(spark: SparkSession, batch: DataFrame, hot_path: str, batch_key: str,
                   key: str = "flight_id") -> DataFrame:
     """Rows of ``batch`` whose key is not yet in the hot store
-    (ignoring rows the same batch wrote before a retry)."""
+    (ignoring rows the same batch wrote before a retry).
+
+    A micro-batch is small (``maxOffsetsPerTrigger``) and the hot store is
+    large, so the hot store is never shuffled: it is pruned to the batch's
+    event dates (a handful of partitions, listed from the batch), its keys
+    are semi-joined against the broadcast batch keys, and the batch is
+    anti-joined against that (at most batch-sized) set of existing keys.
+    Broadcasts go through ``safe_broadcast`` (row-count checked)."""
     b = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
     if not _exists(spark, hot_path):
         return b
-    hot = (spark.read.parquet(hot_path).where(F.col("batch_key") != batch_key)
+    keys = b.select("event_date", key)
+    dates = [r[0] for r in keys.select("event_date").distinct().collect()]  # days in one batch
+    hot = (spark.read.parquet(hot_path)
+           .where(F.col("event_date").isin(dates) & (F.col("batch_key") != batch_key))
            .select("event_date", key))
-    return b.join(hot, ["event_date", key], "left_anti")
+    existing = hot.join(safe_broadcast(keys), ["event_date", key], "left_semi")
+    return b.join(safe_broadcast(existing), ["event_date", key], "left_anti")
 
 
 def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int) -> dict:
