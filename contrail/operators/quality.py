@@ -113,3 +113,32 @@ def json_schema(df: DataFrame, col: str) -> DataFrame:
          .when(F.col("_not_num") == 0, "double").when(F.col("_not_bool") == 0, "boolean")
          .when(F.col("_not_obj") == 0, "struct").when(F.col("_not_arr") == 0, "array").otherwise("string"))
     return agg.select("field", t.alias("type"), "rows", "non_null")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs=(0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles of a column of any size.
+
+    ``percentile`` keeps a value -> count map in one final task, which does
+    not scale for a continuous column at 100 TB.  Here the values are
+    numbered globally in sorted order (range partitioning, no single task;
+    a row-id tiebreaker lets the range bounds split a value that holds a
+    large share of the rows), and only the <= 2 * len(probs) ranks that
+    bracket each quantile are read back."""
+    from contrail.operators.rolling import global_row_number
+    x = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
+    vals = (df.select(x.alias("x")).where(F.col("x").isNotNull())
+            .withColumn("__tie", F.monotonically_increasing_id()))
+    numbered = global_row_number(vals, ["x", "__tie"], partitions)
+    n = numbered.count()
+    spark = df.sparkSession
+    if n == 0:
+        return spark.createDataFrame([(float(p), None) for p in probs], "p double, value double")
+    want = {}
+    for p in probs:
+        pos = p * (n - 1)
+        lo = int(pos // 1)
+        want[p] = (lo, min(lo + 1, n - 1), pos - lo)
+    ranks = sorted({r for lo, hi, _ in want.values() for r in (lo, hi)})
+    got = {r["__rn"]: r["x"] for r in numbered.where(F.col("__rn").isin(ranks)).select("__rn", "x").collect()}
+    rows = [(float(p), got[lo] + (got[hi] - got[lo]) * frac) for p, (lo, hi, frac) in want.items()]
+    return spark.createDataFrame(rows, "p double, value double")

@@ -114,3 +114,16 @@ SELECT airline_code, cause, round(cause_minutes, 6) AS cause_minutes,
 FROM a"""))
 def cause_shares(spark, sf):
     return causes.cause_shares(hot_events(spark, sf))
+
+
+@register("distance_quantiles_history", with_history("""
+SELECT p, round(v, 6) AS value FROM (
+  SELECT 0.05e0 AS p, quantile_cont(distance, 0.05) AS v FROM hist
+  UNION ALL SELECT 0.25e0, quantile_cont(distance, 0.25) FROM hist
+  UNION ALL SELECT 0.5e0, quantile_cont(distance, 0.5) FROM hist
+  UNION ALL SELECT 0.75e0, quantile_cont(distance, 0.75) FROM hist
+  UNION ALL SELECT 0.95e0, quantile_cont(distance, 0.95) FROM hist) t"""))
+def distance_quantiles_history(spark, sf):
+    """Exact quantiles of a continuous column (distance) by distributed rank."""
+    from contrail.plans.views import hot_history
+    return quality.exact_quantiles(hot_history(spark, sf), "distance", (0.05, 0.25, 0.5, 0.75, 0.95))
