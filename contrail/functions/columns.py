@@ -132,7 +132,7 @@ def day_name(ts) -> Column:
 
 def coerce_int(x) -> Column:
     """Text or number -> INT, anything unparseable -> 0 ('12.7' -> 12)."""
-    return F.coalesce(col_of(x).cast("string").try_cast("double").cast("int"), F.lit(0))
+    return F.coalesce(col_of(x).cast("string").try_cast("double").try_cast("int"), F.lit(0))
 
 
 # --- prediction errors ----------------------------------------------------

@@ -58,11 +58,16 @@ def cutoff_of(as_of, keep_days: int = 7) -> dt.datetime:
     return t - dt.timedelta(days=keep_days)
 
 
+def _ntz(t: dt.datetime):
+    """Exact TIMESTAMP_NTZ literal (text, so no time-zone conversion)."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def old_rows(hot: DataFrame, cutoff: dt.datetime) -> DataFrame:
     """Rows older than the cutoff; the ``event_date`` predicate prunes
     partitions, the ``timestamp`` one is pushed into the Parquet scan."""
-    c = F.lit(cutoff).cast("timestamp_ntz")
-    return hot.where((F.col("event_date") <= F.lit(cutoff.date())) & (F.col("timestamp") < c))
+    return hot.where((F.col("event_date") <= F.lit(cutoff.date().isoformat()).cast("date"))
+                     & (F.col("timestamp") < _ntz(cutoff)))
 
 
 def history(spark: SparkSession, stores: Stores, lo=None, hi=None) -> DataFrame:
@@ -143,7 +148,8 @@ def purge(spark: SparkSession, stores: Stores, cutoff: dt.datetime) -> None:
     day with its surviving rows (staging folder, then swap)."""
     hot_path = stores.hot
     day = cutoff.date()
-    dates = [r[0] for r in spark.read.parquet(hot_path).where(F.col("event_date") <= F.lit(day))
+    dates = [r[0] for r in spark.read.parquet(hot_path)
+             .where(F.col("event_date") <= F.lit(day.isoformat()).cast("date"))
              .select("event_date").distinct().collect()]  # one row per day: bounded
     fs, _, jvm = _fs(spark, hot_path)
     Path = jvm.org.apache.hadoop.fs.Path
@@ -153,8 +159,8 @@ def purge(spark: SparkSession, stores: Stores, cutoff: dt.datetime) -> None:
             fs.delete(part, True)
         elif cutoff > dt.datetime.combine(day, dt.time()):
             staging = f"{stores.path('_staging')}/event_date={d}"
-            keep = (spark.read.parquet(hot_path).where(F.col("event_date") == F.lit(d))
-                    .where(F.col("timestamp") >= F.lit(cutoff).cast("timestamp_ntz")).drop("event_date"))
+            keep = (spark.read.parquet(hot_path).where(F.col("event_date") == F.lit(d.isoformat()).cast("date"))
+                    .where(F.col("timestamp") >= _ntz(cutoff)).drop("event_date"))
             keep.write.mode("overwrite").partitionBy("batch_key").parquet(staging)
             fs.delete(part, True)
             fs.rename(Path(staging), part)

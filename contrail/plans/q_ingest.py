@@ -179,3 +179,24 @@ def stream_dedup(spark, sf):
     out, ckpt = live.scratch(spark, "stream-dedup")
     res = live.drain_to_table(spark, per_day, out, ckpt, mode="complete")
     return res.select("event_date", "flights", F.col("flights").alias("ids"))
+
+
+_BUCKET = "time_bucket(INTERVAL 15 MINUTE, \"timestamp\", TIMESTAMP '1970-01-01 00:00:00')"
+
+
+@register("stream_sliding", with_hot(f"""
+, w AS (SELECT {_BUCKET} AS ws, * FROM hot WHERE airline_code IS NOT NULL
+        UNION ALL
+        SELECT {_BUCKET} - INTERVAL 15 MINUTE AS ws, * FROM hot WHERE airline_code IS NOT NULL)
+SELECT {ts_text("ws")} AS window_start, airline_code, round(avg(dep_delay), 6) AS avg_delay,
+       count(flight_id) AS flight_count, count(*) AS events
+FROM w GROUP BY ws, airline_code"""))
+def stream_sliding(spark, sf):
+    """30-minute windows sliding every 15 minutes per airline, on the
+    stream (each event lands in two windows)."""
+    flights = events_as_flights(_event_stream(spark, sf))
+    agg = live.windowed_airline_delay(flights, "30 minutes", "15 minutes", watermark="31 days")
+    out, ckpt = live.scratch(spark, "stream-sliding")
+    res = live.drain_to_table(spark, agg, out, ckpt, mode="complete")
+    return res.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                      .alias("window_start"), "airline_code", "avg_delay", "flight_count", "events")

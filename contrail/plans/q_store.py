@@ -35,7 +35,8 @@ def retention_split(spark, sf):
     """R2: which rows a 7-day retention at ``as_of`` moves to cold."""
     cut = retention.cutoff_of(AS_OF, 7)
     return (hot_events(spark, sf)
-            .select(F.when(F.col("timestamp") < F.lit(cut).cast("timestamp_ntz"), "cold").otherwise("hot")
+            .select(F.when(F.col("timestamp") < F.lit(cut.isoformat(sep=" ")).cast("timestamp_ntz"), "cold")
+                    .otherwise("hot")
                     .alias("store"), F.to_date("timestamp").alias("d"))
             .groupBy("store").agg(F.count(F.lit(1)).alias("records"), F.min("d").alias("first_date"),
                                   F.max("d").alias("last_date")))

@@ -31,8 +31,7 @@ from contrail.operators.predict import fact_projection, predict_b, prediction_pr
 from contrail.schema import ARCHIVE_COLUMNS
 from contrail.session import checkpoint_dir
 from contrail.sources.stream import decode_events
-from contrail.operators.enrich import safe_broadcast
-from contrail.sources.tables import spread
+from contrail.operators.enrich import MAX_BROADCAST_ROWS, bounded
 
 
 @dataclass(frozen=True)
@@ -96,26 +95,30 @@ def prepare(decoded: DataFrame, *, predictor=predict_b, processing_time=None) ->
 
 
 def insert_ignore(spark: SparkSession, batch: DataFrame, hot_path: str, batch_key: str,
-                  key: str = "flight_id") -> DataFrame:
+                  key: str = "flight_id", *, dates=None, batch_rows: int | None = None,
+                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in the hot store
     (ignoring rows the same batch wrote before a retry).
 
     A micro-batch is small (``maxOffsetsPerTrigger``) and the hot store is
     large, so the hot store is never shuffled: it is pruned to the batch's
-    event dates (a handful of partitions, listed from the batch), its keys
-    are semi-joined against the broadcast batch keys, and the batch is
-    anti-joined against that (at most batch-sized) set of existing keys.
-    Broadcasts go through ``safe_broadcast`` (row-count checked)."""
+    event dates (a handful of partitions), its keys are semi-joined against
+    the broadcast batch keys, and the batch is anti-joined against that set
+    of existing keys (a subset of the batch keys, so under the same proven
+    bound).  A batch above ``max_rows`` uses a shuffled anti-join."""
     b = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
     if not _exists(spark, hot_path):
         return b
-    keys = b.select("event_date", key)
-    dates = [r[0] for r in keys.select("event_date").distinct().collect()]  # days in one batch
+    if dates is None:
+        dates = [r[0] for r in batch.select("event_date").distinct().collect()]  # days in one batch
     hot = (spark.read.parquet(hot_path)
            .where(F.col("event_date").isin(dates) & (F.col("batch_key") != batch_key))
            .select("event_date", key))
-    existing = hot.join(safe_broadcast(keys), ["event_date", key], "left_semi")
-    return b.join(safe_broadcast(existing), ["event_date", key], "left_anti")
+    small = batch_rows <= max_rows if batch_rows is not None else bounded(batch, max_rows)
+    if not small:
+        return b.join(hot, ["event_date", key], "left_anti")
+    existing = hot.join(F.broadcast(b.select("event_date", key)), ["event_date", key], "left_semi")
+    return b.join(F.broadcast(existing), ["event_date", key], "left_anti")
 
 
 def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int) -> dict:
@@ -124,13 +127,19 @@ def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int
     restart at 0 with a fresh checkpoint)."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     bk = f"{stores.run}-{batch_id}"
-    rows = (spread(batch).withColumn("event_date", F.to_date("timestamp"))
+    rows = (batch.withColumn("event_date", F.to_date("timestamp"))
             .withColumn("batch_key", F.lit(bk))
             .persist())
     try:
-        rows.where(F.col("flight_id").isNull()).write.mode("overwrite") \
-            .parquet(f"{stores.quarantine}/batch_key={bk}")
-        new = insert_ignore(spark, rows, stores.hot, bk).persist()
+        # One job over the cached batch: size, NULL ids, event dates (a
+        # handful of days per micro-batch).
+        st = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("flight_id").isNull()).alias("nulls"),
+                      F.collect_set("event_date").alias("dates")).first()
+        if st["nulls"] > 0:
+            rows.where(F.col("flight_id").isNull()).write.mode("overwrite") \
+                .parquet(f"{stores.quarantine}/batch_key={bk}")
+        new = insert_ignore(spark, rows, stores.hot, bk, dates=list(st["dates"]),
+                            batch_rows=int(st["n"])).persist()
         obs = Observation(f"batch_{batch_id}")
         counted = new.observe(obs, F.count(F.lit(1)).alias("record_count"),
                               F.count_if(F.col("data_quality_score") < 1).alias("low_quality"))
