@@ -155,11 +155,13 @@ SELECT {ts_text("time_bucket(INTERVAL 15 MINUTE, \"timestamp\", TIMESTAMP '1970-
 FROM hot WHERE airline_code IS NOT NULL GROUP BY 1, 2"""))
 def stream_tumbling(spark, sf):
     """15-minute windows per airline computed by a watermarked
-    streaming aggregate drained with ``availableNow``."""
+    streaming aggregate in ``update`` mode (bounded state), drained with
+    ``availableNow``; the latest version of each window is read back."""
     flights = events_as_flights(_event_stream(spark, sf))
     agg = live.windowed_airline_delay(flights, "15 minutes", watermark="31 days")
     out, ckpt = live.scratch(spark, "stream-tumbling")
-    res = live.drain_to_table(spark, agg, out, ckpt, mode="complete")
+    live.drain_updates(spark, agg, out, ckpt)
+    res = live.latest_windows(spark, out)
     return res.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
                       .alias("window_start"), "airline_code", "avg_delay", "flight_count", "events")
 

@@ -42,6 +42,33 @@ def drain_to_table(spark: SparkSession, agg: DataFrame, out_path: str, checkpoin
     return spark.read.parquet(out_path)
 
 
+def drain_updates(spark: SparkSession, agg: DataFrame, out_path: str, checkpoint: str,
+                  keys=("w", "airline_code"), available_now: bool = True):
+    """Run a watermarked aggregate in ``update`` mode: the watermark evicts
+    finished windows from the state store (bounded state on an endless
+    stream), and each micro-batch appends only the windows it changed under
+    ``batch_id=N`` (overwritten on retry, so idempotent).  Read the
+    current result with ``latest_windows``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    w = (agg.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")).start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
+def latest_windows(spark: SparkSession, out_path: str, keys=("w", "airline_code")) -> DataFrame:
+    """Latest version of every (window, key) row written by
+    ``drain_updates``: one aggregate with ``max_by`` on the batch id."""
+    df = spark.read.parquet(out_path)
+    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
+    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+
+
 def scratch(spark: SparkSession, name: str) -> tuple[str, str]:
     """(output, checkpoint) locations for one run under the shared folder."""
     from contrail.session import checkpoint_dir
