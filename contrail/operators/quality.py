@@ -64,22 +64,49 @@ def quality_score(df: DataFrame, as_of, key: str = "flight_id", ts_col: str = "t
                         .when(F.col("quality_score") >= 70, "good").otherwise("needs attention")))
 
 
-def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
+def describe_numeric(df: DataFrame, cols=None, *, quantiles: str = "auto",
+                     max_distinct: int = 1_000_000) -> DataFrame:
     """Pandas ``describe()`` of the numeric columns: count, mean,
-    sample std, min, exact linear-interpolated quartiles, max -- one
-    aggregate, then one row per column."""
+    sample std, min, exact linear-interpolated quartiles, max.
+
+    ``quantiles``: ``"map"`` computes the quartiles inside the one
+    aggregate (``percentile`` keeps a value -> count map, fine for columns
+    with few distinct values such as whole-minute delays); ``"rank"`` uses
+    ``exact_quantiles`` (distributed global rank, any size); ``"auto"``
+    picks per column from one approximate distinct count."""
     cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)])
+
+    def x(c):
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    if quantiles == "auto":
+        nd = df.agg(*[F.approx_count_distinct(x(c)).alias(c) for c in cols]).first().asDict()
+        by_rank = {c for c in cols if nd[c] > max_distinct}
+    else:
+        by_rank = set(cols) if quantiles == "rank" else set()
     aggs = []
     for c in cols:
-        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        q = F.percentile(x, F.array(dbl(0.25), dbl(0.5), dbl(0.75)))
-        aggs.append(F.struct(F.lit(c).alias("field"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                             q.alias("q"), F.max(x).alias("max")).alias(c))
+        q = (F.array(*[F.lit(None).cast("double")] * 3) if c in by_rank
+             else F.percentile(x(c), F.array(dbl(0.25), dbl(0.5), dbl(0.75))))
+        aggs.append(F.struct(F.lit(c).alias("field"), F.count(x(c)).alias("count"), F.avg(x(c)).alias("mean"),
+                             F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("min"),
+                             q.alias("q"), F.max(x(c)).alias("max")).alias(c))
     row = df.agg(*aggs)
     long = row.select(F.inline(F.array(*[F.col(c) for c in cols])))
-    return long.select("field", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
-                       F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+    out = long.select("field", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
+                      F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+    if by_rank:
+        qs = None
+        for c in sorted(by_rank):
+            v = exact_quantiles(df, c, (0.25, 0.5, 0.75))
+            part = v.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
+                           for p, n in ((0.25, "r25"), (0.5, "r50"), (0.75, "r75"))]) \
+                .select(F.lit(c).alias("field"), "r25", "r50", "r75")
+            qs = part if qs is None else qs.unionByName(part)
+        out = (out.join(F.broadcast(qs), "field", "left")
+               .select("field", "count", "mean", "std", "min",
+                       F.coalesce("r25", "p25").alias("p25"), F.coalesce("r50", "p50").alias("p50"),
+                       F.coalesce("r75", "p75").alias("p75"), "max"))
+    return out
 
 
 def schema_table(df: DataFrame) -> DataFrame:

@@ -56,3 +56,14 @@ def test_pandas_cross_checks(spark):
         assert abs(d[k] - p[q]) < 1e-9, k
     keyed = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "flight_id string")
     assert quality.dup_stats(keyed).first().duplicates == int(pd.Series(["a", "a", None, None, "b"]).duplicated().sum())
+
+
+def test_describe_rank_equals_map(spark):
+    from contrail.operators import quality
+    from contrail.plans.views import hot_history
+    df = hot_history(spark, SF_SMALL)
+    a = {r.field: r for r in quality.describe_numeric(df, ["distance", "dep_delay"], quantiles="map").collect()}
+    b = {r.field: r for r in quality.describe_numeric(df, ["distance", "dep_delay"], quantiles="rank").collect()}
+    for f in a:
+        for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max"):
+            assert abs(a[f][k] - b[f][k]) < 1e-9, (f, k)
