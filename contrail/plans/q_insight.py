@@ -88,7 +88,7 @@ def hist_confidence(spark, sf):
 , t0 AS (SELECT min("timestamp") AS t0 FROM hot),
 xy AS (SELECT dep_delay AS y, (epoch_us("timestamp") - epoch_us(t0)) / 3.6e9 AS x FROM hot, t0)
 SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-       round(regr_r2(y, x), 6) AS r2, regr_count(y, x) AS n
+       round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n
 FROM xy"""))
 def ols_time(spark, sf):
     return insight.ols_over_time(hot_events(spark, sf), "dep_delay")
@@ -97,7 +97,7 @@ def ols_time(spark, sf):
 @register("ols_pred", with_hot("""
 SELECT round(regr_slope(dep_delay, predicted_delay), 6) AS slope,
        round(regr_intercept(dep_delay, predicted_delay), 6) AS intercept,
-       round(regr_r2(dep_delay, predicted_delay), 6) AS r2, regr_count(dep_delay, predicted_delay) AS n
+       round(regr_r2(dep_delay, predicted_delay), 6) AS r2, CAST(regr_count(dep_delay, predicted_delay) AS BIGINT) AS n
 FROM hot"""))
 def ols_pred(spark, sf):
     return insight.ols(hot_events(spark, sf), "dep_delay", "predicted_delay")
