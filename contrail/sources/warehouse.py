@@ -51,6 +51,37 @@ def create_warehouse(spark: SparkSession, stores: Stores, database: str = "fligh
     return made
 
 
+def create_metadata(spark: SparkSession, stores: Stores, database: str = "flight_dw",
+                    schema_version: str = "1") -> list[str]:
+    """K5 (metadata): ``batch_metadata`` and ``archive_metadata`` over the
+    folders the jobs write (one partition per batch / archive), and
+    ``schema_metadata``: one active row per warehouse table with its schema
+    as JSON, rewritten idempotently."""
+    import datetime as dt
+    import json
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    made = []
+    for name, key in (("batch_metadata", "batch_key"), ("archive_metadata", "archive_id")):
+        loc = stores.meta(name)
+        if _exists(spark, loc):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING PARQUET LOCATION '{loc}'")
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+            made.append(f"{database}.{name}")
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = []
+    for name, (cols, parts) in DDL.items():
+        fields = [{"name": c.strip().split(" ")[0], "type": c.strip().split(" ", 1)[1]} for c in cols.split(",")]
+        rows.append((f"{name}_v{schema_version}", schema_version, name, json.dumps(fields), now, True))
+    loc = stores.meta("schema_metadata")
+    (spark.createDataFrame(rows, "schema_id string, schema_version string, table_name string, "
+                                 "schema_definition string, created_timestamp timestamp_ntz, is_active boolean")
+     .write.mode("overwrite").parquet(loc))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.schema_metadata USING PARQUET LOCATION '{loc}'")
+    spark.sql(f"REFRESH TABLE {database}.schema_metadata")
+    made.append(f"{database}.schema_metadata")
+    return made
+
+
 def catalog_stats(spark: SparkSession, database: str = "flight_dw") -> DataFrame:
     """Per table of the database: files, bytes, rows and newest file
     time (file sizes counted once each; rows from a plain count, which

@@ -100,6 +100,11 @@ def test_warehouse_tables(spark, scratch):
         scratch.warehouse("fact_flight_events")).count()
     st = {r.table_name: r for r in catalog_stats(spark, db).collect()}
     assert st["predictions"].total_rows > 0 and st["predictions"].total_bytes > 0
+    from contrail.sources.warehouse import create_metadata
+    meta = create_metadata(spark, scratch, db)
+    assert f"{db}.batch_metadata" in meta
+    assert spark.table(f"{db}.schema_metadata").count() == 3
+    assert spark.table(f"{db}.batch_metadata").where("record_count > 0").count() == 1
 
 
 def test_update_mode_windows_equal_complete(spark, tmp_path):
