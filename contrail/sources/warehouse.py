@@ -36,13 +36,31 @@ DDL = {
 }
 
 
+# Fact and prediction rows as views over staging (same columns as
+# operators.predict.fact_projection / prediction_projection).
+VIEWS = {
+    "fact_flight_events": """SELECT flight_id, timestamp, airline_code, origin, dest, dep_delay, arr_delay, distance,
+       predicted_delay, abs(predicted_delay - dep_delay) AS prediction_accuracy, processing_timestamp,
+       processing_date, batch_key FROM {db}.staging_flight_events""",
+    "predictions": """SELECT concat(flight_id, '_pred') AS prediction_id, flight_id, timestamp, predicted_delay,
+       dep_delay AS actual_delay, abs(predicted_delay - dep_delay) AS prediction_accuracy,
+       'v1.0' AS model_version, processing_timestamp, processing_date AS prediction_date, batch_key
+       FROM {db}.staging_flight_events""",
+}
+
+
 def create_warehouse(spark: SparkSession, stores: Stores, database: str = "flight_dw") -> list[str]:
     """K5: create the database and the tables if absent; returns the table
-    names.  Idempotent."""
+    names.  Idempotent.  Fact and prediction tables are views over staging
+    unless the ingest materialised them (``materialize_projections``)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     made = []
     for name, (cols, parts) in DDL.items():
         loc = stores.warehouse(name)
+        if name in VIEWS and not _exists(spark, loc):
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS " + VIEWS[name].format(db=database))
+            made.append(f"{database}.{name}")
+            continue
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING PARQUET "
                   f"PARTITIONED BY ({parts}) LOCATION '{loc}'")
         if _exists(spark, loc):
@@ -88,6 +106,8 @@ def catalog_stats(spark: SparkSession, database: str = "flight_dw") -> DataFrame
     Parquet answers from footers)."""
     parts = []
     for t in spark.catalog.listTables(database):  # table names only: bounded
+        if t.tableType == "VIEW":  # no files of its own
+            continue
         df = spark.table(f"{database}.{t.name}")
         parts.append(df.select(F.lit(t.name).alias("table_name"), "_metadata.file_path",
                                "_metadata.file_size", "_metadata.file_modification_time"))

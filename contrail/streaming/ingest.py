@@ -8,8 +8,8 @@ stream -> decode -> clean -> predict -> ``foreachBatch(fan_out)``:
   ``event_date=D/batch_key=K`` with dynamic partition overwrite;
 * quarantine: rows whose id is NULL (they can never match a key);
 * cold archive: the batch's archive columns under ``batch_key=<run>-N``;
-* warehouse: staging, fact and prediction rows, partitioned by date and
-  batch;
+* warehouse: staging rows partitioned by date and batch; fact and
+  prediction rows are views over staging (or materialised on request);
 * metadata: one ``batch_metadata`` row with observed counts and the
   archive's measured size.
 
@@ -121,7 +121,8 @@ def insert_ignore(spark: SparkSession, batch: DataFrame, hot_path: str, batch_ke
     return b.join(F.broadcast(existing), ["event_date", key], "left_anti")
 
 
-def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int) -> dict:
+def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int, *,
+            materialize_projections: bool = False) -> dict:
     """Write one micro-batch to every store (T8).  ``batch_key`` =
     ``<run>-<batch id>`` names the batch across checkpoints (batch ids
     restart at 0 with a fresh checkpoint)."""
@@ -151,10 +152,14 @@ def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int
         # Warehouse tables: replace this batch's partitions only.
         new.write.mode("overwrite").partitionBy("processing_date", "batch_key") \
             .parquet(stores.warehouse("staging_flight_events"))
-        fact_projection(new).withColumn("batch_key", F.lit(bk)).write.mode("overwrite") \
-            .partitionBy("processing_date", "batch_key").parquet(stores.warehouse("fact_flight_events"))
-        prediction_projection(new).withColumn("batch_key", F.lit(bk)).write.mode("overwrite") \
-            .partitionBy("prediction_date", "batch_key").parquet(stores.warehouse("predictions"))
+        if materialize_projections:
+            # Fact and prediction rows are projections of staging; by default
+            # they are catalog views over it (create_warehouse), which saves
+            # two copies of every batch.
+            fact_projection(new).withColumn("batch_key", F.lit(bk)).write.mode("overwrite") \
+                .partitionBy("processing_date", "batch_key").parquet(stores.warehouse("fact_flight_events"))
+            prediction_projection(new).withColumn("batch_key", F.lit(bk)).write.mode("overwrite") \
+                .partitionBy("prediction_date", "batch_key").parquet(stores.warehouse("predictions"))
         # Hot store last: once it holds the rows, the batch is complete.  A
         # retry replaces exactly this batch's (event_date, batch_key) folders.
         new.write.mode("overwrite").partitionBy("event_date", "batch_key").parquet(stores.hot)

@@ -31,7 +31,7 @@ def test_fan_out_retry_and_replay_are_idempotent(spark, scratch):
     replay = ingest.Stores(scratch.root, "replay")  # fresh checkpoint: ids restart at 0
     ingest.fan_out(spark, replay, b, 0)
     assert _snapshot(spark, scratch.hot) == first
-    wh = spark.read.parquet(scratch.warehouse("fact_flight_events"))
+    wh = spark.read.parquet(scratch.warehouse("staging_flight_events"))
     assert wh.count() == n                         # replay added nothing new
     meta = spark.read.parquet(scratch.meta("batch_metadata"))
     counts = {r.batch_key: r.record_count for r in meta.collect()}
@@ -96,10 +96,17 @@ def test_warehouse_tables(spark, scratch):
     db = "contrail_test_dw"
     tables = create_warehouse(spark, scratch, db)
     assert len(tables) == 3
-    assert spark.table(f"{db}.fact_flight_events").count() == spark.read.parquet(
-        scratch.warehouse("fact_flight_events")).count()
+    mat = ingest.Stores(scratch.root + "-materialized")
+    ingest.fan_out(spark, mat, _batch(spark), 0, materialize_projections=True)
+    assert spark.read.parquet(mat.warehouse("fact_flight_events")).count() == _batch(spark).count()
+    staging = spark.read.parquet(scratch.warehouse("staging_flight_events"))
+    from contrail.operators.predict import fact_projection, prediction_projection
+    fact = spark.table(f"{db}.fact_flight_events").drop("batch_key")
+    assert sorted(map(tuple, fact.collect())) == sorted(map(tuple, fact_projection(staging).collect()))
+    pred = spark.table(f"{db}.predictions").drop("batch_key")
+    assert sorted(map(tuple, pred.collect())) == sorted(map(tuple, prediction_projection(staging).collect()))
     st = {r.table_name: r for r in catalog_stats(spark, db).collect()}
-    assert st["predictions"].total_rows > 0 and st["predictions"].total_bytes > 0
+    assert st["staging_flight_events"].total_rows == staging.count() and st["staging_flight_events"].total_bytes > 0
     from contrail.sources.warehouse import create_metadata
     meta = create_metadata(spark, scratch, db)
     assert f"{db}.batch_metadata" in meta
