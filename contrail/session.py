@@ -28,6 +28,15 @@ _DEFAULTS = {
 }
 
 
+def _driver_memory() -> str:
+    """Local mode: 8g, or 60 % of physical memory on a smaller machine."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(8, int(total * 0.6 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def get_spark(master: str | None = None, app: str = "contrail",
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
@@ -36,7 +45,7 @@ def get_spark(master: str | None = None, app: str = "contrail",
     builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf["spark.driver.memory"] = os.environ.get("CONTRAIL_DRIVER_MEMORY", "8g")
+    conf["spark.driver.memory"] = os.environ.get("CONTRAIL_DRIVER_MEMORY", _driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
