@@ -58,12 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is always used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is created
-    and recorded in the session so that later calls agree.
+    is; a cluster session without it is an error.  Only in local mode
+    (tests) a fresh scratch folder is created when it is unset and recorded
+    in the session so that later calls agree.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="contrail-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints and stores "
+                               "must survive the loss of any one machine")
+        path = tempfile.mkdtemp(prefix="contrail-ckpt-")  # local mode (tests) only
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
