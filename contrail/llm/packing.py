@@ -46,6 +46,7 @@ class Encoder:
     of the vocabulary name the same ids (see the tests)."""
 
     _made: dict[str, "Encoder"] = {}
+    _blank = re.compile(r"\s{20000}")
     _cut = re.compile("(?<=[A-Za-z0-9])(?= [A-Za-z])")
 
     def __init__(self, path: str):
@@ -80,14 +81,13 @@ class Encoder:
         return np.concatenate(parts)
 
     def _short(self, text: str) -> np.ndarray:
-        try:
-            return np.array(self.encoding.encode_ordinary(text), "<u4")
-        except ValueError:  # the pattern's backtracking limit: very long runs of white space
+        if len(text) > 20000 and self._blank.search(text):  # beyond the backtracking of the ranks' pattern
             from tokenizers import Tokenizer
 
             exact = Tokenizer.from_file(self.path)
             exact.encode_special_tokens = True
             return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.encoding.encode_ordinary(text), "<u4")
 
 
 def cuts(n: int, window: int) -> list[int]:
