@@ -181,5 +181,17 @@ def quality_scores(docs: DataFrame, model: tuple[np.ndarray, float], settings: S
     return out.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def predict_kept(docs: DataFrame, model: tuple[np.ndarray, float], settings: Settings = Settings(), cut: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score reaches ``cut``."""
+    weights, bias = model
+
+    def keep(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it, text_col, 1 << 21):
+            p = 1 / (1 + np.exp(-log_odds(*buffers(b.column(text_col)), weights, bias, settings)))
+            yield b.filter(pa.array(p >= cut))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
