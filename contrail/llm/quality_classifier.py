@@ -36,8 +36,8 @@ class Settings:
     bucket_bits: int = 16
     size: int = 16
     grams: tuple[int, ...] = (3, 4)
-    epochs: int = 4
-    rate: float = 4.0
+    steps: int = 700
+    rate: float = 20.0
     batch: int = 16
     seed: int = 5
     max_train_rows: int = 2000
@@ -102,10 +102,12 @@ def train(labels: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray
     vectors = rng.uniform(-1 / s.size, 1 / s.size, (1 << s.bucket_bits, s.size)).astype(np.float32)
     layer, bias = np.zeros((s.size, 2), np.float32), np.zeros(2, np.float32)
     target = np.eye(2, dtype=np.float32)[labels]
-    steps, done = s.epochs * -(-len(labels) // s.batch), 0
-    for _ in range(s.epochs):
+    done = 0
+    while done < s.steps:
         order = rng.permutation(len(labels))
         for at in range(0, len(order), s.batch):
+            if done == s.steps:
+                break
             rows = order[at:at + s.batch]
             sizes = np.array([len(buckets[i]) for i in rows])
             idx = np.concatenate([buckets[i] for i in rows])
@@ -119,7 +121,7 @@ def train(labels: np.ndarray, buckets: list[np.ndarray], shares: list[np.ndarray
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             error = (p - target[rows]) / len(rows)
-            rate = s.rate * (1 - done / steps)
+            rate = s.rate * (1 - done / s.steps)
             back = error @ layer.T
             layer -= rate * mean.T @ error
             bias -= rate * error.sum(axis=0)
