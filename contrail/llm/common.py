@@ -9,6 +9,7 @@ input columns (also ones named like an output column) never matter.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -37,15 +38,22 @@ BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it
-    back: lineage is cut, a lost executor costs nothing that was finished,
-    and the shuffle files behind it become garbage, which is collected."""
+    back: lineage is cut, and a lost executor costs nothing that was
+    finished."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # the context cleaner drops shuffle files of collected plans
-    return out
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the context cleaner drop the shuffle files of finished steps before
+    the next large one writes its own.  The first collection frees the
+    Python side's handles, the second what they held."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,10 +13,12 @@ distance meets under some key.
 
 Meeting documents are not expanded into pairs.  Texts of equal shingle sets are
 one class from the start.  Every class is first tried with the smallest and
-the largest class under its keys; then, for keys whose classes are not yet one
-component, with its nearest class in another component, and last with all that
-are left within the distance.  A link counts only if the full shingle sets
-say so; components come from those links.
+the largest class under its keys.  Keys whose classes are then still several
+components are compared in cells of bounded size, inside the task: every class
+outside the key's first component with all classes of other components within
+the distance, each pair under its first key only; what leaves a task is at most
+a link per class and component.  A link counts only if the full shingle sets say
+so; components come from those links.
 
 Defined cases: null, empty or blank text has no shingles and links with
 nothing; fewer words than a shingle count as one shorter shingle; a null id
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import M1, M2, M3, NULL_ID, Words, batches, buffers, connected_components, documents_of, ids_of, materialise, mix
+from contrail.llm.common import M1, M2, M3, NULL_ID, Words, batches, buffers, connected_components, documents_of, ids_of, materialise, mix, release
 
 BITS = 16
 #: Rows of one key that a task compares at a time with the rest of the key.
@@ -116,30 +118,33 @@ def _signed(table: Iterator[pa.RecordBatch], width: int, n_symbols: int) -> Iter
 
 
 def _keys(it: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """For each row and each symbol left out of each chunk one key; ``place``
+    numbers them."""
     for b in it:
         sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint16).reshape(b.num_rows, -1)
-        rep = ids_of(b.column("rep"))
-        n_words = -(-sig.shape[1] // 64)
-        sketch = np.zeros((len(rep), n_words * 8), np.uint8)
-        packed = _sketch(sig)
-        sketch[:, :packed.shape[1]] = packed
-        sketch = sketch.view(np.int64)[:, 0]
-        at = 0
-        for c, size in enumerate(sizes):
+        packed = np.zeros((b.num_rows, 8), np.uint8)
+        bits = _sketch(sig[:, :64])
+        packed[:, :bits.shape[1]] = bits
+        sketch = pa.array(packed.view(np.int64)[:, 0])
+        at = place = 0
+        for size in sizes:
             part = sig[:, at:at + size].astype(np.uint64)
             for out in range(size) if size > 1 else [-1]:
-                key = np.full(len(rep), (c + 1) * 64 + out + 1, np.uint64)
+                key = np.full(b.num_rows, place + 1, np.uint64)
                 for k in range(size):
                     if k != out:
                         key = mix(key * M1 + part[:, k])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep), pa.array(sketch)], names=["key", "rep", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(b.num_rows, place, np.int32)), b.column("rep"), b.column("component"), sketch],
+                                                 names=["key", "place", "rep", "component", "sketch"])
+                place += 1
             at += size
 
 
-def _sets(it: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sets(it: Iterator[pa.RecordBatch], width: int, short: bool = False) -> Iterator[pa.RecordBatch]:
     for b in batches(it, "data", 1 << 21):
         x, off = shingles(Words(*buffers(b.column("data")), lower=True), width)
-        yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array([x[i:j].tobytes() for i, j in zip(off[:-1], off[1:])], pa.binary())], names=["rep", "items"])
+        items = [x[i:j].tobytes() if not short else np.unique((x[i:j] >> np.uint64(32)).astype(np.uint32)).tobytes() for i, j in zip(off[:-1], off[1:])]
+        yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array(items, pa.binary())], names=["rep", "items"])
 
 
 def _confirmed(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -157,26 +162,90 @@ def _confirmed(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _partners(nearest: bool, bound: int):
-    """Within a cell of one key: for each query row the rows of other
-    components within the distance (``nearest``: one per query)."""
+def _cell(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """A cell of one key: ids, components, signatures, which rows are
+    queries, and the place of the key."""
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(table.num_rows, -1)
+    return ids_of(table.column("rep")), ids_of(table.column("component")), sig, np.asarray(table.column("query").to_numpy(zero_copy_only=False), bool), int(table.column("place")[0].as_py())
+
+
+def _meet_first(sig: np.ndarray, one: np.ndarray, sizes: list[int], place: int) -> np.ndarray:
+    """Is ``place`` the first key under which the rows meet the signature?
+    So that a pair is tried under one of its keys only."""
+    differ = sig != one
+    first = np.full(len(sig), 1 << 30)
+    at, number = 0, 0
+    for size in sizes:
+        part = differ[:, at:at + size]
+        errors = part.sum(axis=1)
+        step = size if size > 1 else 1
+        meets = np.where(errors == 0, number, np.where((errors == 1) & (size > 1), number + part.argmax(axis=1), 1 << 30))
+        first = np.minimum(first, meets)
+        at, number = at + size, number + step
+    return first == place
+
+
+def _candidates(table: pa.Table, sizes: list[int], bound: int, sketch_bound: int):
+    """Yields each query row with the rows of other components within the
+    distance that it meets here first."""
+    rep, comp, sig, query, place = _cell(table)
+    packed = np.zeros((len(rep), 8), np.uint8)
+    bits = _sketch(sig[:, :64])
+    packed[:, :bits.shape[1]] = bits
+    sketch = packed.view(np.uint64)[:, 0]
+    base = np.flatnonzero(~query)
+    for q in np.flatnonzero(query):
+        near = base[(np.bitwise_count(sketch[base] ^ sketch[q]) <= sketch_bound) & (comp[base] != comp[q])]
+        near = near[np.count_nonzero(sig[near] != sig[q], axis=1) <= bound]
+        if len(near):
+            near = near[_meet_first(sig[near], sig[q], sizes, place)]
+            if len(near):
+                yield q, near, rep, comp
+
+
+def _participants(sizes: list[int], bound: int, sketch_bound: int):
+    """The rows of a cell that have a candidate there: at most its rows."""
 
     def cell(table: pa.Table) -> pa.Table:
-        rep, comp = ids_of(table.column("rep")), ids_of(table.column("component"))
-        sketch = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(rep), -1)
-        query = np.asarray(table.column("query").to_numpy(zero_copy_only=False), bool)
-        base = np.flatnonzero(~query)
-        found = []
-        for q in np.flatnonzero(query):
-            d = np.count_nonzero(sketch[base] != sketch[q], axis=1)
-            ok = (comp[base] != comp[q]) & (d <= bound)
-            if ok.any():
-                at = base[ok]
-                at = at[[np.argmin(d[ok])]] if nearest else at
-                found += [(min(int(rep[q]), int(rep[i])), max(int(rep[q]), int(rep[i])), int(x)) for i, x in zip(at, np.count_nonzero(sketch[at] != sketch[q], axis=1))]
-        found = sorted(set(found))
-        cols = list(zip(*found)) if found else [[], [], []]
-        return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64()), "errors": pa.array(cols[2], pa.int32())})
+        hit = np.zeros(table.num_rows, bool)
+        for q, near, _, _ in _candidates(table, sizes, bound, sketch_bound):
+            hit[q] = True
+            hit[near] = True
+        return table.filter(pa.array(hit))
+
+    return cell
+
+
+def _links(sizes: list[int], bound: int, sketch_bound: int, percent: int):
+    """Confirmed candidates of a cell, one per query row and other
+    component.  Sets come as 32-bit items; the caller confirms on full ones,
+    so a unit of percent is left for equal items by chance."""
+
+    def cell(table: pa.Table) -> pa.Table:
+        raw = [np.frombuffer(x, np.uint32) for x in table.column("items").to_pylist()]
+        size = np.array([len(x) for x in raw])
+        known, dense = np.unique(np.concatenate(raw), return_inverse=True)
+        first = np.append(0, np.cumsum(size))
+        mark, found = np.zeros(len(known), np.int32), []
+        for q, near, rep, comp in _candidates(table, sizes, bound, sketch_bound):
+            own = dense[first[q]:first[q + 1]]
+            mark[own] = 1
+            at = np.concatenate([dense[first[i]:first[i + 1]] for i in near])
+            common = np.add.reduceat(mark[at], np.append(0, np.cumsum(size[near])[:-1]))
+            mark[own] = 0
+            share = common / np.maximum(1, size[near] + size[q] - common)
+            sure: set[int] = set()
+            for k in np.argsort(-share, kind="stable"):  # surely a link: one per component; at the edge: all
+                if 100 * share[k] < percent - 1:
+                    break
+                i = near[k]
+                if int(comp[i]) not in sure:
+                    found.append((min(int(rep[q]), int(rep[i])), max(int(rep[q]), int(rep[i]))))
+                    if 100 * share[k] >= percent + 1:
+                        sure.add(int(comp[i]))
+        keep = sorted(set(found))
+        cols = list(zip(*keep)) if keep else [[], []]
+        return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
 
     return cell
 
@@ -193,60 +262,71 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     sketch_bound = ceil(min(64, n_symbols) * (1 - percent / 100) / 2 + 5 * sqrt(min(64, n_symbols) * 0.25 * (1 - percent / 100)))
     signed = materialise(src.mapInArrow(lambda it: _signed(it, shingle_words, n_symbols),
                                         "doc_id long, n_shingles long, set_a long, set_b long, sig binary"))
+    release(docs.sparkSession)
     # classes of equal sets; the smallest id stands for the class
     classes = materialise(signed.where("n_shingles > 0").groupBy("set_a", "set_b")
                           .agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("rep"), F.first("sig").alias("sig")))
-    one = classes.groupBy("rep").agg(F.first("sig").alias("sig"))  # sets of rows that repeat an id are one component
-    keys = materialise(one.mapInArrow(lambda it: _keys(it, sizes), "key long, rep long, sketch long"))
-    hub = keys.groupBy("key").agg(F.min_by(F.struct("rep", "sketch"), "rep").alias("lo"), F.max_by(F.struct("rep", "sketch"), "rep").alias("hi")).where("lo.rep < hi.rep")
+    one = materialise(classes.groupBy("rep").agg(F.first("sig").alias("sig")))  # sets of rows that repeat an id are one component
+    release(docs.sparkSession)
+    key_schema = "key long, place int, rep long, component long, sketch long"
+    keys = one.withColumn("component", F.col("rep")).mapInArrow(lambda it: _keys(it, sizes), key_schema).select("key", "rep", "sketch")
+    # 1: the smallest and the largest class under each key are hubs
+    hub = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     met = keys.join(hub, "key")
-    sides = [met.where(f"rep != {h}.rep and bit_count(sketch ^ {h}.sketch) <= {sketch_bound}")
-             .select(F.least("rep", f"{h}.rep").alias("a"), F.greatest("rep", f"{h}.rep").alias("b"), F.expr(f"bit_count(sketch ^ {h}.sketch)").alias("errors")) for h in ("lo", "hi")]
-    star = materialise(sides[0].union(sides[1]).distinct())
+    met = met.where("rep != lo").select("rep", "sketch", F.col("lo").alias("hub")).union(met.where("rep != hi").select("rep", "sketch", F.col("hi").alias("hub"))).distinct()
+    sketches = one.withColumn("component", F.col("rep")).mapInArrow(lambda it: _keys(it, [n_symbols]), key_schema).where("place = 0").select(F.col("rep").alias("hub"), F.col("sketch").alias("hub_sketch"))
+    errors = F.expr("bit_count(sketch ^ hub_sketch)")
+    star = materialise(met.join(sketches, "hub").where(errors <= sketch_bound).groupBy(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).agg(F.min(errors).alias("errors")))
+    release(docs.sparkSession)
     texts = src.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("rep"), "data")
 
+    def sets_of(ids: DataFrame, short: bool = False) -> DataFrame:
+        # the ids grow with the documents: never broadcast them, whatever their size is today
+        return materialise(texts.join(ids.hint("merge"), "rep", "left_semi").mapInArrow(lambda it: _sets(it, shingle_words, short), "rep long, items binary"))
+
     def confirm(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-        # of rows that repeat an id, the one whose set the id stands for is as good as any: each is confirmed by its own set
-        sets = materialise(texts.join(need, "rep", "left_semi").mapInArrow(lambda it: _sets(it, shingle_words), "rep long, items binary"))
+        """Pairs whose full sets reach the threshold."""
+        sets = sets_of(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct())
         both = (pairs.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("items_b")), "b")
                 .join(sets.select(F.col("rep").alias("a"), F.col("items").alias("items_a")), "a"))
-        return materialise(both.select("a", "b", "items_a", "items_b").mapInArrow(lambda it: _confirmed(it, percent), "a long, b long").distinct())
+        out = materialise(both.select("a", "b", "items_a", "items_b").mapInArrow(lambda it: _confirmed(it, percent), "a long, b long").distinct())
+        release(docs.sparkSession)
+        return out
 
-    def apart(pairs: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
+    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         la, lb = labels.toDF("a", "ca"), labels.toDF("b", "cb")
-        return (pairs.join(done, ["a", "b"], "left_anti").join(la, "a", "left").join(lb, "b", "left")
-                .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b", "errors"))
-
-    def open_cells(labels: DataFrame) -> DataFrame:
-        """Keys whose classes are still several components: all rows as base
-        in cells of CELL rows, the rows outside the first component as
-        queries against each cell."""
-        rows = keys.select("key", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = rows.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")).where("first < last")
-        rows = (rows.join(mixed, "key").withColumn("cells", F.ceil(F.col("n") / CELL).cast("int"))
-                .join(one, "rep").select("key", "rep", "component", "first", "cells", "sig"))
-        base = rows.withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int")).withColumn("query", F.lit(False))
-        query = rows.where("component != first").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("query", F.lit(True))
-        cols = ["key", "cell", "rep", "component", "sig", "query"]
-        return base.select(*cols).union(query.select(*cols))
-
-    # 1: each class with its nearest hub
-    nearest = star.groupBy("b").agg(F.min(F.struct("errors", "a")).alias("m")).select(F.col("m.a").alias("a"), "b", F.col("m.errors").alias("errors"))
-    tried = materialise(nearest)
-    links = confirm(tried)
-    labels = connected_components(links)
-    # 2: the other hubs that are still apart; 3: the nearest apart under a key; 4: all the rest within the distance
-    for step in ("hubs", "near", "rest"):
-        pairs = star if step == "hubs" else open_cells(labels).groupBy("key", "cell").applyInArrow(_partners(step == "near", bound), "a long, b long, errors int").distinct()
-        pairs = materialise(apart(pairs, labels, tried.select("a", "b")))
+        return pairs.join(la, "a", "left").join(lb, "b", "left").where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b")
+
+    def joined(links: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         if not pairs.limit(1).count():
-            continue
+            return links, None
         more = confirm(pairs)
-        tried = tried.union(pairs)
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = connected_components(links)
+        return (links.union(more), connected_components(links.union(more))) if more.limit(1).count() else (links, None)
+
+    # each class with its nearest hub, then with the hubs it is still apart from
+    tried = materialise(star.groupBy("b").agg(F.min(F.struct("errors", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"))
+    links = confirm(tried)
+    labels = connected_components(links)
+    links, new = joined(links, materialise(apart(star.join(tried, ["a", "b"], "left_anti"), labels)))
+    labels = new if new is not None else labels
+    # 2: keys whose classes are still several components.  All rows are base, in cells of CELL rows; the rows outside the
+    # key's first component are queries against each cell
+    labelled = one.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"), "sig")
+    keyed = labelled.mapInArrow(lambda it: _keys(it, sizes), key_schema).select("key", "place", "rep", "component")
+    mixed = keyed.groupBy("key").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")).where("first < last")
+    rows = keyed.join(mixed, "key").withColumn("cells", F.ceil(F.col("n") / CELL).cast("int")).join(one, "rep")
+    cols = ["key", "cell", "place", "rep", "component", "sig", "query"]
+    base = rows.withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int")).withColumn("query", F.lit(False)).select(*cols)
+    query = rows.where("component != first").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("query", F.lit(True)).select(*cols)
+    cell_schema = "key long, cell int, place int, rep long, component long, sig binary, query boolean"
+    part = materialise(base.union(query).groupBy("key", "cell").applyInArrow(_participants(sizes, bound, sketch_bound), cell_schema))
+    release(docs.sparkSession)
+    if part.limit(1).count():
+        with_sets = part.join(sets_of(part.select("rep").distinct(), short=True), "rep").select(*cols, "items")
+        found = materialise(with_sets.groupBy("key", "cell").applyInArrow(_links(sizes, bound, sketch_bound, percent), "a long, b long").distinct())
+        release(docs.sparkSession)
+        links, new = joined(links, found)
+        labels = new if new is not None else labels
     class_of = classes.select("set_a", "set_b", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("c"))
     out = signed.join(class_of, ["set_a", "set_b"], "left")
     c = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.coalesce("doc_id", F.lit(NULL_ID)))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import M1, M2, M3, buffers, documents_of, ids_of, materialise, mix, total_bytes, with_block
+from contrail.llm.common import M1, M2, M3, buffers, documents_of, ids_of, materialise, mix, release, total_bytes, with_block
 
 BLOCK_BYTES = 4 << 20
 BUCKET_ENTRIES = 1 << 19
@@ -335,9 +335,13 @@ def remove_repeats(docs: DataFrame, shape: Shape, sequence: Callable, finish: Ca
 
     sent = blocks.groupBy("block").applyInArrow(anchors, _SEND)
     judged = materialise(sent.groupBy("bucket").applyInArrow(_judge_contexts, _REPLY))
+    del sent
+    release(docs.sparkSession)
     still = judged.where(F.col("kind") == OPEN)
     sent = blocks.groupBy("block").cogroup(still.groupBy("block")).applyInArrow(windows, _SEND)
     earlier = materialise(sent.groupBy("bucket").applyInArrow(_judge_windows, _REPLY))
+    del sent
+    release(docs.sparkSession)
     return blocks.groupBy("block").cogroup(judged.union(earlier).groupBy("block")).applyInArrow(result, schema)
 
 
