@@ -91,8 +91,8 @@ def main(argv=None) -> int:
     w.add_argument("--stores")
     w.add_argument("--database", default="flight_dw")
     a = p.parse_args(argv)
-    from contrail.session import get_spark
-    spark = get_spark(app=f"contrail-{a.job}", master=os.environ.get("SPARK_MASTER"))
+    from contrail.session import job_spark
+    spark = job_spark(f"contrail-{a.job}")
     {"ingest": ingest, "archive": archive, "train": train, "warehouse": warehouse}[a.job](spark, a)
     return 0
 

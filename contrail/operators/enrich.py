@@ -1,8 +1,8 @@
 """Dimension lookups.
 
-A dimension is broadcast only after its row count is proven to be under a
-bound (``max_rows``); beyond it the same join runs as a shuffled join, so a
-dimension that grows with the data never overflows executor memory.
+Dimensions are joined without hints: Catalyst broadcasts one whose statistics
+or, under AQE, measured size is below ``spark.sql.autoBroadcastJoinThreshold``
+and shuffles a larger one.  Building a plan runs no job.
 """
 
 from __future__ import annotations
@@ -10,26 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast at most this many dimension rows (a few MB for the narrow
-# dimensions used here).
-MAX_BROADCAST_ROWS = 200_000
 
-
-def bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows (the limit stops the scan early)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def safe_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when its size is proven small, else ``dim``."""
-    return F.broadcast(dim) if bounded(dim, max_rows) else dim
-
-
-def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Facts ⨝ dim on ``key`` (broadcast when the dim is bounded)."""
-    return facts.join(safe_broadcast(dim, max_rows), key, how)
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Facts ⨝ dim on ``key``."""
+    return facts.join(dim, key, how)
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -44,8 +28,7 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
             .drop(k))
 
 
-def enrich_dims(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def enrich_dims(flights: DataFrame, airports: DataFrame, airlines: DataFrame) -> DataFrame:
     """Flights (batch or stream) ⨝ airline names ⨝ airports twice
     (origin and destination under their own column names).  Left joins:
     an unknown code keeps the flight with NULL attributes."""
@@ -55,6 +38,6 @@ def enrich_dims(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
     dst = a.select(F.col("code").alias("dest"), F.col("city").alias("dest_city"),
                    F.col("lat").alias("dest_lat"), F.col("lon").alias("dest_lon"))
     return (flights
-            .join(safe_broadcast(airlines, max_rows), "airline_code", "left")
-            .join(safe_broadcast(org, max_rows), "origin", "left")
-            .join(safe_broadcast(dst, max_rows), "dest", "left"))
+            .join(airlines, "airline_code", "left")
+            .join(org, "origin", "left")
+            .join(dst, "dest", "left"))

@@ -9,22 +9,23 @@ Order of work, each step safe to repeat after a failure:
 3. archive: the old rows not yet in the cold store (``left_anti`` on
    (event_date, flight_id)) are appended under ``archive_id=<id>``, counted
    by ``observe`` while written;
-4. verify: the old rows now in cold must cover every old hot row, and the
-   number of old hot rows must equal the snapshot count (a late writer
-   aborts the purge);
-5. record: one ``archive_metadata`` row;
-6. purge (K8): event-date partitions wholly older than the cutoff are
-   dropped; the boundary partition is rewritten with its surviving rows
-   into a staging folder and swapped in.
-
-Deleting and renaming partition folders uses the Hadoop FileSystem of the
-session (the only file operations in the library).
+4. verify: every old row of the files read must now be in cold;
+5. record: one ``archive_metadata`` row per run;
+6. purge (K8), by a redo log: the rows of those files that stay are written to
+   a staging folder, the files to delete are listed beside them, and a marker
+   commits both.  ``redo`` then deletes the listed files and moves the rows
+   that stay into the store.  It can be repeated from any point; ``archive`` and
+   ``history`` call it first.  Files that were written after the store was
+   listed are in no list and stay.
+
+One listing of the hot store (one DataFrame) serves all steps of a run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,11 +73,21 @@ def old_rows(hot: DataFrame, cutoff: dt.datetime) -> DataFrame:
 
 def history(spark: SparkSession, stores: Stores, lo=None, hi=None) -> DataFrame:
     """Hot and cold as one table (by column name), optionally limited
-    to [lo, hi] with partition pruning on ``event_date``."""
-    parts = []
-    for path, src in ((stores.hot, "hot"), (stores.cold_archive, "cold")):
-        if _exists(spark, path):
-            parts.append(spark.read.parquet(path).withColumn("store", F.lit(src)))
+    to [lo, hi] with partition pruning on ``event_date``.  The cutoff of the
+    last verified archive is the boundary: cold before it, hot from it on, so
+    a row that is in both for a while counts once."""
+    redo(spark, stores)
+    parts, cutoff = [], _recorded_cutoff(spark, stores)
+    has_cold = cutoff is not None and _exists(spark, stores.cold_archive)
+    cold = spark.read.parquet(stores.cold_archive).where(F.col("timestamp") < _ntz(cutoff)) if has_cold else None
+    if _exists(spark, stores.hot):
+        hot = spark.read.parquet(stores.hot)
+        if has_cold:  # behind the cutoff hot holds late rows, and what a purge has not removed yet
+            late = old_rows(hot, cutoff).join(cold.select("event_date", "flight_id"), ["event_date", "flight_id"], "left_anti")
+            hot = hot.where(F.col("timestamp").isNull() | (F.col("timestamp") >= _ntz(cutoff))).unionByName(late)
+        parts.append(hot.withColumn("store", F.lit("hot")))
+    if has_cold:
+        parts.append(cold.withColumn("store", F.lit("cold")))
     if not parts:
         raise FileNotFoundError("no hot or cold store yet")
     df = parts[0]
@@ -92,12 +103,13 @@ def history(spark: SparkSession, stores: Stores, lo=None, hi=None) -> DataFrame:
 def archive(spark: SparkSession, stores: Stores, as_of, *, keep_days: int = 7,
             threshold_mb: float | None = None, archive_id: str | None = None) -> dict:
     """Archive -> verify -> record -> purge.  Returns the metadata."""
+    redo(spark, stores)
     hot_path, cold_path = stores.hot, stores.cold_archive
     size_before = store_size_mb(spark, hot_path)
     if threshold_mb is not None and not size_before > threshold_mb:
         return {"archived": False, "reason": "below threshold", "hot_size_mb": size_before}
     cutoff = cutoff_of(as_of, keep_days)
-    archive_id = archive_id or f"archive_{cutoff:%Y%m%dT%H%M%S}"
+    archive_id = archive_id or f"archive_{cutoff:%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
     hot = spark.read.parquet(hot_path)
     snapshot = old_rows(hot, cutoff)
     snap_count = snapshot.count()
@@ -109,13 +121,10 @@ def archive(spark: SparkSession, stores: Stores, as_of, *, keep_days: int = 7,
     (todo.observe(obs, F.count(F.lit(1)).alias("rows")).withColumn("archive_id", F.lit(archive_id))
      .write.mode("append").partitionBy("archive_id", "event_date").parquet(cold_path))
     written = int(obs.get.get("rows", 0))
-    # verify: every old hot row is in cold, and no row arrived meanwhile
-    hot_now = old_rows(spark.read.parquet(hot_path), cutoff)
-    missing = hot_now.select("event_date", "flight_id").join(
+    missing = snapshot.select("event_date", "flight_id").join(
         old_rows(spark.read.parquet(cold_path), cutoff).select("event_date", "flight_id"),
-        ["event_date", "flight_id"], "left_anti").count()
-    now_count = hot_now.count()
-    verified = missing == 0 and now_count == snap_count
+        ["event_date", "flight_id"], "left_anti").count() if _exists(spark, cold_path) else snap_count
+    verified = missing == 0
     meta = {
         "archive_id": archive_id, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
         "source": hot_path, "record_count": written, "snapshot_count": snap_count,
@@ -126,7 +135,7 @@ def archive(spark: SparkSession, stores: Stores, as_of, *, keep_days: int = 7,
     }
     record_archive(spark, stores, meta)
     if verified:
-        purge(spark, stores, cutoff)
+        purge(spark, stores, hot, cutoff, archive_id)
     meta["archived"] = verified
     return meta
 
@@ -143,24 +152,58 @@ def record_archive(spark: SparkSession, stores: Stores, meta: dict) -> None:
     row.write.mode("overwrite").parquet(f"{stores.meta('archive_metadata')}/archive_id={meta['archive_id']}")
 
 
-def purge(spark: SparkSession, stores: Stores, cutoff: dt.datetime) -> None:
-    """K8: drop partitions older than the cutoff's day; rewrite the cutoff's
-    day with its surviving rows (staging folder, then swap)."""
-    hot_path = stores.hot
-    day = cutoff.date()
-    dates = [r[0] for r in spark.read.parquet(hot_path)
-             .where(F.col("event_date") <= F.lit(day.isoformat()).cast("date"))
-             .select("event_date").distinct().collect()]  # one row per day: bounded
-    fs, _, jvm = _fs(spark, hot_path)
-    Path = jvm.org.apache.hadoop.fs.Path
-    for d in dates:
-        part = Path(f"{hot_path}/event_date={d}")
-        if d < day:
-            fs.delete(part, True)
-        elif cutoff > dt.datetime.combine(day, dt.time()):
-            staging = f"{stores.path('_staging')}/event_date={d}"
-            keep = (spark.read.parquet(hot_path).where(F.col("event_date") == F.lit(d.isoformat()).cast("date"))
-                    .where(F.col("timestamp") >= _ntz(cutoff)).drop("event_date"))
-            keep.write.mode("overwrite").partitionBy("batch_key").parquet(staging)
-            fs.delete(part, True)
-            fs.rename(Path(staging), part)
+def _recorded_cutoff(spark: SparkSession, stores: Stores) -> dt.datetime | None:
+    """The latest cutoff of a verified archive run."""
+    if not _exists(spark, stores.meta("archive_metadata")):
+        return None
+    return spark.read.parquet(stores.meta("archive_metadata")).where("verified").agg(F.max("threshold_date")).first()[0]
+
+
+def purge(spark: SparkSession, stores: Stores, hot: DataFrame, cutoff: dt.datetime, archive_id: str) -> None:
+    """K8: remove the rows before the cutoff from the files of ``hot`` (the
+    listing that was archived and verified)."""
+    root = f"{stores.path('_purge')}/{archive_id}"
+    fs, _, jvm = _fs(spark, root)
+    path = jvm.org.apache.hadoop.fs.Path
+    files = old_rows(hot, cutoff).select(F.col("_metadata.file_path").alias("file"), "event_date").distinct()
+    files.write.mode("overwrite").parquet(f"{root}/files")
+    listed = spark.read.parquet(f"{root}/files")
+    day = F.lit(cutoff.date().isoformat()).cast("date")
+    keep = (hot.where((F.col("event_date") == day) & (F.col("timestamp") >= _ntz(cutoff))).withColumn("_file", F.col("_metadata.file_path"))
+            .join(listed.select(F.col("file").alias("_file")), "_file", "left_semi").drop("_file", "batch_key"))
+    keep.withColumn("batch_key", F.lit(f"kept-{archive_id}")).repartition("event_date").write.mode("overwrite") \
+        .partitionBy("event_date", "batch_key").parquet(f"{root}/rows")
+    fs.create(path(f"{root}/COMMITTED")).close()
+    redo(spark, stores)
+
+
+def redo(spark: SparkSession, stores: Stores) -> None:
+    """Finish committed purges and drop those that were not committed.  Every
+    step may have been done before."""
+    base = stores.path("_purge")
+    fs, p, jvm = _fs(spark, base)
+    path = jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(p):
+        return
+    for entry in fs.listStatus(p):
+        root = entry.getPath().toString()
+        if fs.exists(path(f"{root}/COMMITTED")):
+            parents = set()
+            for r in spark.read.parquet(f"{root}/files").toLocalIterator():  # names of files, one after the other
+                f = path(r["file"])
+                fs.delete(f, False)
+                parents.add(f.getParent().toString())
+            for q in parents:  # a batch's folder of a day, and the day, where nothing is left in them
+                for folder in (path(q), path(q).getParent()):
+                    if fs.exists(folder) and not any(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(folder)):
+                        fs.delete(folder, True)
+            if fs.exists(path(f"{root}/rows")):
+                for day in fs.listStatus(path(f"{root}/rows")):
+                    name = day.getPath().getName()
+                    if name.startswith("event_date="):
+                        for batch in fs.listStatus(day.getPath()):
+                            target = path(f"{stores.hot}/{name}/{batch.getPath().getName()}")
+                            if not fs.exists(target):
+                                fs.mkdirs(target.getParent())
+                                fs.rename(batch.getPath(), target)
+        fs.delete(path(root), True)

@@ -149,6 +149,31 @@ def stream_ingest(spark, sf):
                  F.sum("predicted_delay").alias("sum_predicted"), F.sum("data_quality_score").alias("quality_sum")))
 
 
+@register("stream_ingest_multibatch", "WITH " + FLIGHT_EVENTS + _clean_sql("date_trunc('millisecond', \"timestamp\")") + """
+SELECT 'hot' AS store, count(*) AS flights, count(DISTINCT flight_id) AS ids, round(sum(predicted_delay), 6) AS sum_predicted FROM cb
+UNION ALL SELECT 'staging', count(*), count(DISTINCT flight_id), round(sum(predicted_delay), 6) FROM cb
+UNION ALL SELECT 'cold', count(*), count(DISTINCT flight_id), round(sum(predicted_delay), 6) FROM cb""")
+def stream_ingest_multibatch(spark, sf):
+    """The events as six files in an order unrelated to time,
+    one file per micro-batch, in a session of their own and with the in-stream
+    dedup; every store holds every flight once."""
+    own = spark.newSession()
+    root = ingest.default_stores(spark, "multibatch-" + uuid.uuid4().hex[:12]).root
+    flights = events_as_flights(read_table(own, sf, "events"))
+    encode_events(flights).repartition(6, F.xxhash64("value")).write.mode("overwrite").text(f"{root}/_messages")
+    stores = ingest.Stores(root, "main")
+    stream = own.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/_messages")
+    ingest.run_ingest(own, stream, stores, processing_time=PROCESSING_TIME, dedup_watermark="1 hour")
+
+    def counts(name, path):
+        return spark.read.option("recursiveFileLookup", "false").parquet(path).agg(
+            F.count(F.lit(1)).alias("flights"), F.count_distinct("flight_id").alias("ids"),
+            F.sum("predicted_delay").alias("sum_predicted")).select(F.lit(name).alias("store"), "*")
+
+    return (counts("hot", stores.hot).union(counts("staging", stores.warehouse("staging_flight_events")))
+            .union(counts("cold", stores.cold)))
+
+
 @register("stream_tumbling", with_hot(f"""
 SELECT {ts_text("time_bucket(INTERVAL 15 MINUTE, \"timestamp\", TIMESTAMP '1970-01-01 00:00:00')")} AS window_start,
        airline_code, round(avg(dep_delay), 6) AS avg_delay, count(flight_id) AS flight_count, count(*) AS events
@@ -174,13 +199,12 @@ def stream_dedup(spark, sf):
     source); ``dropDuplicatesWithinWatermark`` keeps one per id."""
     a = events_as_flights(_event_stream(spark, sf))
     b = events_as_flights(_event_stream(spark, sf))
-    deduped = ingest.dedup_in_stream(a.unionByName(b), "31 days")
-    per_day = (deduped.withColumn("event_date", F.to_date("timestamp"))
-               .groupBy("event_date").agg(F.count(F.lit(1)).alias("flights"),
-                                          F.approx_count_distinct("flight_id").alias("ids_approx")))
+    deduped = ingest.dedup_in_stream(a.unionByName(b), "1 hour").select("flight_id", F.to_date("timestamp").alias("event_date"))
     out, ckpt = live.scratch(spark, "stream-dedup")
-    res = live.drain_to_table(spark, per_day, out, ckpt, mode="complete")
-    return res.select("event_date", "flights", F.col("flights").alias("ids"))
+    deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt) \
+        .trigger(availableNow=True).start().awaitTermination()
+    return (spark.read.parquet(out).groupBy("event_date")
+            .agg(F.count(F.lit(1)).alias("flights"), F.count_distinct("flight_id").alias("ids")))
 
 
 _BUCKET = "time_bucket(INTERVAL 15 MINUTE, \"timestamp\", TIMESTAMP '1970-01-01 00:00:00')"
@@ -199,6 +223,7 @@ def stream_sliding(spark, sf):
     flights = events_as_flights(_event_stream(spark, sf))
     agg = live.windowed_airline_delay(flights, "30 minutes", "15 minutes", watermark="31 days")
     out, ckpt = live.scratch(spark, "stream-sliding")
-    res = live.drain_to_table(spark, agg, out, ckpt, mode="complete")
+    live.drain_updates(spark, agg, out, ckpt)
+    res = live.latest_windows(spark, out)
     return res.select(F.date_format(F.col("w.start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
                       .alias("window_start"), "airline_code", "avg_delay", "flight_count", "events")

@@ -21,9 +21,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # A dimension is only ever broadcast behind an explicit size check
-    # (contrail.operators.enrich.safe_broadcast); keep the automatic
-    # threshold at Spark's default instead of raising it.
+    # A dimension is only ever broadcast by its measured size; keep the
+    # automatic threshold at Spark's default instead of raising it.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
 
@@ -54,6 +53,16 @@ def get_spark(master: str | None = None, app: str = "contrail",
     return spark
 
 
+def job_spark(app: str) -> SparkSession:
+    """The session of a submitted job: master, memory and partition counts
+    are those of the submit command and its configuration; only what the
+    results depend on is set here."""
+    spark = (SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.adaptive.enabled", "true").getOrCreate())
+    spark.sparkContext.setLogLevel("WARN")
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -33,6 +33,9 @@ def drain_to_table(spark: SparkSession, agg: DataFrame, out_path: str, checkpoin
     its final state as Parquet at ``out_path``; returns it as a batch
     DataFrame.  Each micro-batch of a ``complete`` aggregate replaces the
     table (idempotent on retry)."""
+    if mode != "complete":
+        raise ValueError("only a complete aggregate may replace its table; use drain_updates for the others")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 

@@ -129,3 +129,69 @@ def test_update_mode_windows_equal_complete(spark, tmp_path):
     exp = live.drain_to_table(spark, b, str(tmp_path / "c"), str(tmp_path / "cc"), mode="complete")
     key = ["w", "airline_code", "flight_count", "events"]
     assert sorted(tuple(r) for r in got.select(*key).collect()) == sorted(tuple(r) for r in exp.select(*key).collect())
+
+
+def test_purge_survives_a_stop_after_any_step(spark, scratch, monkeypatch):
+    b = _batch(spark)
+    ingest.fan_out(spark, scratch, b, 0)
+    before = _snapshot(spark, scratch.hot)
+    as_of = "2024-01-30 12:00:00"
+
+    def everything():
+        return sorted(tuple(r) for r in retention.history(spark, scratch).select("flight_id", "dep_delay", "predicted_delay").collect())
+
+    real = retention.redo
+    calls = []
+
+    def stops_before_redo(*a):
+        calls.append(1)
+        if len(calls) == 2:  # the call at the end of purge: committed, nothing deleted yet
+            raise RuntimeError("stopped")
+        return real(*a)
+
+    monkeypatch.setattr(retention, "redo", stops_before_redo)
+    try:
+        retention.archive(spark, scratch, as_of)
+        raise AssertionError("should have stopped")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(retention, "redo", real)
+    # half of the deletes done, then stopped again
+    files = [r["file"] for r in spark.read.parquet(scratch.path("_purge") + "/*/files").collect()]
+    fs, _, jvm = retention._fs(spark, scratch.hot)
+    for f in files[:len(files) // 2]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f), False)
+    # a late row into an old day before the deletes are redone
+    late = b.limit(1).withColumn("flight_id", F.lit("late")).withColumn("timestamp", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"))
+    ingest.fan_out(spark, scratch, late, 7)
+    got = everything()
+    assert sorted(x for x in got if x[0] != "late") == before and sum(x[0] == "late" for x in got) == 1
+    assert retention.archive(spark, scratch, as_of)["archived"]
+    assert sorted(x for x in everything() if x[0] != "late") == before
+    assert spark.read.parquet(scratch.hot).where(F.col("timestamp") < F.lit(retention.cutoff_of(as_of, 7))).count() == 0
+    assert spark.read.parquet(scratch.meta("archive_metadata")).count() == 2
+
+
+def test_duplicate_choice_does_not_depend_on_order(spark):
+    rows = [("a", i, float(i % 7)) for i in range(50)] + [("b", 1, 2.0)]
+    one = spark.createDataFrame(rows, "flight_id string, x int, y double")
+    other = spark.createDataFrame(rows[::-1], "flight_id string, x int, y double").repartition(7)
+    assert sorted(map(tuple, ingest.one_per_key(one).collect())) == sorted(map(tuple, ingest.one_per_key(other).collect()))
+
+
+def test_rows_without_id_and_late_rows_pass_the_dedup(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for k, day in enumerate(("2024-02-20", "2024-01-01", "2024-03-01")):
+        spark.createDataFrame([(None, day), (None, day), ("x", day), (f"y{k}", day)], "flight_id string, d string").coalesce(1).write.mode("append").json(src)
+    stream = spark.readStream.schema("flight_id string, d string").option("maxFilesPerTrigger", 1).json(src)
+    out = ingest.dedup_in_stream(stream.withColumn("timestamp", F.col("d").cast("timestamp_ntz")), "1 hour")
+    out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    got = [r.flight_id for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert got.count(None) == 6 and got.count("x") == 1 and len(got) == 10
+
+
+def test_job_session_overrides_nothing_of_the_submit_command(spark):
+    from contrail.session import job_spark
+    conf = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",)}
+    s = job_spark("x")
+    assert s.sparkContext.master == spark.sparkContext.master and s.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
