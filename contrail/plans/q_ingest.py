@@ -150,9 +150,9 @@ def stream_ingest(spark, sf):
 
 
 @register("stream_ingest_multibatch", "WITH " + FLIGHT_EVENTS + _clean_sql("date_trunc('millisecond', \"timestamp\")") + """
-SELECT 'hot' AS store, count(*) AS flights, count(DISTINCT flight_id) AS ids, round(sum(predicted_delay), 6) AS sum_predicted FROM cb
-UNION ALL SELECT 'staging', count(*), count(DISTINCT flight_id), round(sum(predicted_delay), 6) FROM cb
-UNION ALL SELECT 'cold', count(*), count(DISTINCT flight_id), round(sum(predicted_delay), 6) FROM cb""")
+SELECT 'hot' AS store, count(*) AS flights, count(DISTINCT flight_id) AS ids, round(sum(dep_delay), 6) AS sum_delay FROM cb
+UNION ALL SELECT 'staging', count(*), count(DISTINCT flight_id), round(sum(dep_delay), 6) FROM cb
+UNION ALL SELECT 'cold', count(*), count(DISTINCT flight_id), round(sum(dep_delay), 6) FROM cb""")
 def stream_ingest_multibatch(spark, sf):
     """The events as six files in an order unrelated to time,
     one file per micro-batch, in a session of their own and with the in-stream
@@ -166,9 +166,9 @@ def stream_ingest_multibatch(spark, sf):
     ingest.run_ingest(own, stream, stores, processing_time=PROCESSING_TIME, dedup_watermark="1 hour")
 
     def counts(name, path):
-        return spark.read.option("recursiveFileLookup", "false").parquet(path).agg(
+        return spark.read.parquet(path).agg(
             F.count(F.lit(1)).alias("flights"), F.count_distinct("flight_id").alias("ids"),
-            F.sum("predicted_delay").alias("sum_predicted")).select(F.lit(name).alias("store"), "*")
+            F.sum("dep_delay").alias("sum_delay")).select(F.lit(name).alias("store"), "*")
 
     return (counts("hot", stores.hot).union(counts("staging", stores.warehouse("staging_flight_events")))
             .union(counts("cold", stores.cold)))
