@@ -38,22 +38,16 @@ def pct(part, whole) -> Column:
 # --- ingestion -------------------------------------------------------------
 
 def parse_event_time(raw, fallback: Column | None = None) -> Column:
-    """ISO-8601 text -> TIMESTAMP.
+    """ISO-8601 text -> TIMESTAMP, cut to milliseconds.
 
-    The fraction is cut to milliseconds, as the reference does, but a value
-    without fraction is accepted too (the reference's fixed ``.SSS`` pattern
-    rejects it).  A missing value becomes ``fallback`` (default: the
-    processing time); a malformed one stays NULL and can be quarantined.
+    A date and a time to the second are required; the fraction may have any
+    number of digits or be missing, and a ``Z`` or an offset is honoured.
+    A missing value becomes ``fallback`` (default: the processing time); a
+    malformed one stays NULL and can be quarantined.
     """
     s = col_of(raw)
-    cut = F.regexp_replace(
-        s, r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3})\d*", "$1")
-    parsed = F.coalesce(
-        F.try_to_timestamp(cut, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")),
-        F.try_to_timestamp(cut, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(cut, F.lit("yyyy-MM-dd HH:mm:ss.SSS")),
-        F.try_to_timestamp(cut, F.lit("yyyy-MM-dd HH:mm:ss")),
-    )
+    whole = s.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}")
+    parsed = F.when(whole, F.date_trunc("millisecond", s.try_cast("timestamp")))
     fb = fallback if fallback is not None else F.current_timestamp()
     return F.when(s.isNull(), fb).otherwise(parsed)
 

@@ -196,7 +196,9 @@ def run_ingest(spark: SparkSession, messages: DataFrame, stores: Stores, *,
     ``fan_out`` with a durable checkpoint, then stop.  ``dedup_watermark``
     adds in-stream de-duplication of ids within the watermark (T5); the
     durable dedup is the insert-ignore of the hot store."""
-    hot_rows = prepare(decode_events(messages), predictor=predictor, processing_time=processing_time)
+    # a message without a time takes the broker's, which a replay sees again
+    arrived = F.col("kafka_timestamp") if "kafka_timestamp" in messages.columns else None
+    hot_rows = prepare(decode_events(messages, fallback_time=arrived), predictor=predictor, processing_time=processing_time)
     if dedup_watermark:
         hot_rows = dedup_in_stream(hot_rows, dedup_watermark)
     w = (hot_rows.writeStream.foreachBatch(lambda df, bid: fan_out(spark, stores, df, bid))

@@ -5,6 +5,7 @@ import math
 import pandas as pd
 from pyspark.sql import functions as F
 
+from contrail.functions.columns import parse_event_time
 from contrail.functions import columns as C
 from contrail.operators.clean import clean_events, nan_to_null
 
@@ -67,7 +68,7 @@ def test_parse_event_time_variants(spark):
     df = spark.createDataFrame([("2025-12-17T09:23:27.796123",), ("2025-12-17T09:23:27",), ("garbage",), (None,)],
                                "s string")
     fb = F.lit("2030-01-01 00:00:00").cast("timestamp")
-    out = [r.t for r in df.select(C.parse_event_time("s", fb).cast("timestamp_ntz").alias("t")).collect()]
+    out = [r.t for r in df.select(parse_event_time("s", fb).cast("timestamp_ntz").alias("t")).collect()]
     assert str(out[0]) == "2025-12-17 09:23:27.796000"
     assert str(out[1]) == "2025-12-17 09:23:27"
     assert out[2] is None
@@ -92,3 +93,10 @@ def test_flight_number_and_route(spark):
     r = spark.createDataFrame([("X", "Y"), ("X", None)], "o string, d string") \
         .select(C.route_label("o", "d").alias("r")).collect()
     assert [x.r for x in r] == ["X → Y", None]
+
+
+def test_event_time_accepts_zones_and_any_fraction(spark):
+    rows = ["2025-12-17T09:23:27Z", "2025-12-17T10:23:27.1+01:00", "2025-12-17T09:23:27.123456789", "2025-12-17", "garbage", "2025-12-17T09:23:27"]
+    df = spark.createDataFrame([(r,) for r in rows], "s string")
+    got = [r[0] for r in df.select(parse_event_time("s").cast("string")).collect()]
+    assert got == ["2025-12-17 09:23:27", "2025-12-17 09:23:27.1", "2025-12-17 09:23:27.123", None, None, "2025-12-17 09:23:27"]
