@@ -32,7 +32,7 @@ def ingest(spark: SparkSession, a) -> None:
     from contrail.streaming.ingest import run_ingest
     msgs = open_stream(spark, a.source, path=a.path, topic=a.topic, servers=a.servers,
                        max_per_trigger=a.max_per_trigger)
-    model = ml.load(spark, a.model) if a.model else None
+    model = ml.load(spark, a.model, required=True) if a.model else None
     run_ingest(spark, msgs, _stores(spark, a.stores, a.run), predictor=ml.predictor(model),
                dedup_watermark=a.dedup_watermark, available_now=not a.continuous)
 

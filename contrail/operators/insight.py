@@ -109,15 +109,21 @@ def board(df: DataFrame, n: int = 20) -> DataFrame:
             .drop("timestamp"))
 
 
+def _seeded_md5(key: str, seed: int):
+    """Hex MD5 of ``seed|key`` (a missing key counts as empty): a hash that any
+    engine can repeat."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+
+
 def sample(df: DataFrame, n: int = 500, seed: int = 42, key: str = "flight_id",
            require=("predicted_delay", "dep_delay")) -> DataFrame:
     """Repeatable sample of at most ``n`` complete rows: the ``n`` rows
     with the smallest seeded hash of the key (top-k, not a full sort)."""
     out = df.dropna(subset=list(require)) if require else df
-    return out.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.asc(key)).limit(n)
+    return out.orderBy(_seeded_md5(key, seed), F.asc(key)).limit(n)
 
 
 def split(df: DataFrame, train_pct: int = 80, seed: int = 42, key: str = "flight_id"):
     """Hash split by key, stable under repartitioning and retries."""
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    b = F.conv(F.substring(_seeded_md5(key, seed), 1, 8), 16, 10).cast("long") % 100
     return df.where(b < train_pct), df.where(b >= train_pct)

@@ -14,7 +14,7 @@ import json
 import os
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,21 +56,32 @@ def column_census(df: DataFrame, numeric, categorical) -> DataFrame:
     return row.select(F.inline(F.array(*[F.col(c) for c in list(numeric) + list(categorical)])))
 
 
-def mode_fill(train: DataFrame, df: DataFrame, cols) -> DataFrame:
-    """M2 (strings): fill missing values with the training mode.  The
-    modes are one aggregate row (one value per column)."""
-    modes = train.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first().asDict()
-    return df.fillna({c: v for c, v in modes.items() if v is not None})
+def modes_of(train: DataFrame, cols) -> dict[str, str | None]:
+    """M2 (strings): the training mode of each column (one aggregate row)."""
+    return train.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first().asDict()
 
 
-def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *,
+def _inputs(numeric, categorical, modes: dict[str, str | None]) -> SQLTransformer:
+    """The columns that the later stages read: numbers as doubles, strings
+    with the training mode for a missing value.  As a stage it is saved with
+    the model, so training, batch and stream fill alike."""
+    cols = [f"CAST(`{c}` AS DOUBLE) AS `{c}__num`" for c in numeric]
+    for c in categorical:
+        mode = modes.get(c)
+        text = "NULL" if mode is None else "'" + mode.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        cols.append(f"coalesce(`{c}`, {text}) AS `{c}__fill`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
+
+
+def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *, modes=None,
                    model: str = "gbt", max_iter: int = 100, num_trees: int = 50, seed: int = 42) -> Pipeline:
-    """M2-M6 as one Spark ML pipeline."""
+    """M2-M6 as one Spark ML pipeline over the raw columns."""
     imputed = [f"{c}__imp" for c in numeric]
     indexed = [f"{c}__idx" for c in categorical]
     stages = [
-        Imputer(strategy="median", inputCols=[c for c in numeric], outputCols=imputed),
-        StringIndexer(inputCols=list(categorical), outputCols=indexed,
+        _inputs(numeric, categorical, modes or {}),
+        Imputer(strategy="median", inputCols=[f"{c}__num" for c in numeric], outputCols=imputed),
+        StringIndexer(inputCols=[f"{c}__fill" for c in categorical], outputCols=indexed,
                       stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=imputed + indexed, outputCol="features_raw", handleInvalid="keep"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
@@ -87,15 +98,11 @@ def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICA
     return Pipeline(stages=stages)
 
 
-def _prep(df: DataFrame, numeric) -> DataFrame:
-    # Imputer needs floating inputs.
-    return df.withColumns({c: F.col(c).cast("double") for c in numeric})
-
-
 def regression_metrics(pred: DataFrame, target: str, prediction: str = "prediction") -> DataFrame:
-    """M7: R^2, MAE, MSE, RMSE as one aggregate (rows with a target)."""
+    """M7: R^2, MAE, MSE, RMSE as one aggregate (rows with a target and a
+    prediction)."""
     e = F.col(prediction) - F.col(target)
-    p = pred.where(F.col(target).isNotNull())
+    p = pred.where(F.col(target).isNotNull() & F.col(prediction).isNotNull())
     stats = p.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
                   F.var_pop(target).alias("var_y"), F.count(F.lit(1)).alias("n"))
     return stats.select("n", "mae", "mse", F.sqrt("mse").alias("rmse"),
@@ -109,12 +116,9 @@ def train(df: DataFrame, *, target: str | None = "arr_delay", numeric=NUMERIC_FE
     predictions, metrics DataFrame)."""
     target = pick_target(df.columns, target)
     numeric = [c for c in numeric if c != target]
-    data = _prep(df.where(F.col(target).isNotNull()), numeric)
-    tr, te = split(data, train_pct, seed, key)
-    tr = mode_fill(tr, tr, categorical)
-    te = mode_fill(tr, te, categorical)
-    fitted = build_pipeline(target, numeric, categorical, model=model, max_iter=max_iter,
-                            num_trees=num_trees, seed=seed).fit(tr)
+    tr, te = split(df.where(F.col(target).isNotNull()), train_pct, seed, key)
+    fitted = build_pipeline(target, numeric, categorical, modes=modes_of(tr, categorical), model=model,
+                            max_iter=max_iter, num_trees=num_trees, seed=seed).fit(tr)
     pred = fitted.transform(te)
     return fitted, pred, regression_metrics(pred, target)
 
@@ -129,26 +133,33 @@ def save(model: PipelineModel, path: str, metrics: DataFrame, target: str,
     meta.coalesce(1).write.mode("overwrite").json(os.path.join(path, "metadata"))
 
 
-def load(spark: SparkSession, paths) -> PipelineModel | None:
-    """M9: the first loadable model among candidate paths, else None."""
-    for p in ([paths] if isinstance(paths, str) else paths):
-        try:
+def load(spark: SparkSession, paths, *, required: bool = False) -> PipelineModel | None:
+    """M9: the model at the first candidate path that holds one, else None.
+    A model that is there but does not load raises, and so does, if
+    ``required``, none at any path: a named model is never quietly replaced
+    by the rules."""
+    from contrail.streaming.ingest import _exists
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    for p in paths:
+        if _exists(spark, os.path.join(p, "model")):
             return PipelineModel.load(os.path.join(p, "model"))
-        except Exception:  # noqa: BLE001 - absent or unreadable: try the next
-            continue
+    if required:
+        raise FileNotFoundError(f"no model at {', '.join(paths)}")
     return None
 
 
-def predictor(model: PipelineModel | None, numeric=NUMERIC_FEATURES):
+def predictor(model: PipelineModel | None):
     """A ``DataFrame -> DataFrame`` predictor for the ingest: the
     model's transform (batch or stream) with confidence from the error
-    bands, or the rule-based predictor B when there is no model."""
+    bands, or the rule-based predictor B when there is no model.  The bands
+    compare with the departure delay, the only delay known when a flight is
+    scored, also for a model of the arrival delay."""
     if model is None:
         return predict_b
 
     def apply(df: DataFrame) -> DataFrame:
         cols = df.columns
-        scored = model.transform(_prep(df, [c for c in numeric if c in cols]))
+        scored = model.transform(df)
         gap = F.abs(F.col("prediction") - F.col("dep_delay"))
         out = scored.withColumn("predicted_delay", F.round("prediction", 2)).withColumn(
             "prediction_confidence", F.when(gap < 10, 0.90).when(gap < 20, 0.75).otherwise(0.60))

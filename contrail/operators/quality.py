@@ -110,11 +110,13 @@ def describe_numeric(df: DataFrame, cols=None, *, quantiles: str = "auto",
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """Field -> type of a table, one row per field (from the schema, no
-    scan)."""
-    spark = df.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, field string, type string, nullable boolean")
+    """Field -> type of a table, one row per field, with the rows and the
+    non-missing values found (one aggregate over the table)."""
+    fields = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("field"),
+                       F.lit(f.dataType.simpleString()).alias("type"), F.count(F.lit(1)).alias("rows"),
+                       F.count(f.name).alias("non_null")).alias(f"f{i}") for i, f in enumerate(df.schema.fields)]
+    row = df.agg(*fields)
+    return row.select(F.inline(F.array(*row.columns)))
 
 
 def json_schema(df: DataFrame, col: str) -> DataFrame:

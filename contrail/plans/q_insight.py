@@ -149,16 +149,22 @@ def top_latest(spark, sf):
                                                       "dest", "dep_delay", "predicted_delay"])
 
 
-@register("sample_500")
+@register("sample_500", with_hot("""
+SELECT flight_id, predicted_delay, dep_delay FROM hot
+WHERE predicted_delay IS NOT NULL AND dep_delay IS NOT NULL
+ORDER BY md5('42|' || flight_id), flight_id LIMIT 500"""))
 def sample_500(spark, sf):
-    """Repeatable 500-row sample (hash-ordered; no SQL twin for xxhash64)."""
+    """Repeatable 500-row sample in the order of a seeded MD5."""
     return insight.sample(hot_events(spark, sf), 500, 42).select(
         "flight_id", "predicted_delay", "dep_delay")
 
 
-@register("train_test_split")
+@register("train_test_split", with_hot("""
+SELECT CASE WHEN CAST('0x' || substr(md5('42|' || coalesce(flight_id, '')), 1, 8) AS BIGINT) % 100 < 80
+            THEN 'train' ELSE 'test' END AS part, count(*) AS count
+FROM hot GROUP BY 1"""))
 def train_test_split(spark, sf):
-    """Sizes of the hash split (no SQL twin for xxhash64)."""
+    """Sizes of the hash split."""
     tr, te = insight.split(hot_events(spark, sf), 80, 42)
     return (tr.select(F.lit("train").alias("part")).unionByName(te.select(F.lit("test").alias("part")))
             .groupBy("part").count())

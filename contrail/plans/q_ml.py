@@ -6,7 +6,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from contrail.operators import ml
-from contrail.plans.oracle_views import with_hot
+from contrail.plans.oracle_views import with_history, with_hot
 from contrail.plans.registry import register
 from contrail.plans.views import hot_events, hot_history
 from contrail.session import checkpoint_dir
@@ -36,12 +36,32 @@ def model_train_eval(spark, sf):
     """M1-M8: random forest (the README's model) on the 80 % hash split of
     the history, scored on the other 20 %, saved with its metadata, with
     the mean-predictor baseline alongside.  No SQL twin (a fitted model)."""
-    fitted, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf", num_trees=20)
+    fitted, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf")
     path = os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex[:12])
     ml.save(fitted, path, metrics, "arr_delay")
     return _with_baseline(metrics, pred)
 
 
+@register("model_gbt_eval")
+def model_gbt_eval(spark, sf):
+    """M5 + M7: gradient-boosted trees (100 rounds) on the 80 % hash split of
+    the history, scored on the other 20 %.  No SQL twin (a fitted model)."""
+    _, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="gbt")
+    return _with_baseline(metrics, pred)
+
+
+@register("scored_metrics", with_history("""
+SELECT count(*) AS n, round(avg(abs(predicted_delay - arr_delay)), 6) AS mae,
+       round(avg(pow(predicted_delay - arr_delay, 2)), 6) AS mse,
+       round(sqrt(avg(pow(predicted_delay - arr_delay, 2))), 6) AS rmse,
+       round(1e0 - avg(pow(predicted_delay - arr_delay, 2)) / var_pop(arr_delay), 6) AS r2
+FROM hist WHERE predicted_delay IS NOT NULL AND arr_delay IS NOT NULL"""))
+def scored_metrics(spark, sf):
+    """M7: the model metrics over the scored history (predictor A against
+    the arrival delay)."""
+    return ml.regression_metrics(hot_history(spark, sf), "arr_delay", "predicted_delay")
+
+
 def _with_baseline(metrics, pred):
     from contrail.operators.enrich import attach_scalars
     mean = pred.agg(F.avg("arr_delay").alias("_mean"))
@@ -59,7 +79,7 @@ def model_stream_inference(spark, sf):
     from contrail.sources.stream import encode_events
     from contrail.sources.tables import events_as_flights
     from contrail.streaming import ingest
-    fitted, _, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf", num_trees=10)
+    fitted, _, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf")
     root = os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex[:12])
     ml.save(fitted, root, metrics, "arr_delay")
     model = ml.load(spark, [os.path.join(root, "missing"), root])

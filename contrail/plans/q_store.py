@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import retention
 from contrail.plans.oracle_views import FLIGHT_EVENTS, with_history, with_hot
+from contrail.plans.q_quality import HOT_COLUMNS
 from contrail.plans.registry import register
 from contrail.plans.views import AS_OF, PROCESSING_TIME, hot_events
 from contrail.sources.tables import flight_events
@@ -91,11 +92,19 @@ def history_csv(spark, sf):
                                   F.sum("crs_dep_time").alias("sum_crs_dep_time"))
 
 
-@register("hot_schema")
+_SCHEMA = "\nUNION ALL ".join(
+    f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS field,
+       CASE any_value(typeof("{c}")) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(any_value(typeof("{c}"))) END AS type,
+       count(*) AS "rows", count("{c}") AS non_null FROM hot"""
+    for i, c in enumerate(HOT_COLUMNS))
+
+
+@register("hot_schema", with_hot("\n" + _SCHEMA))
 def hot_schema(spark, sf):
-    """Field -> type of the hot view (from the schema, no scan)."""
+    """Field -> type of the hot view, with rows and non-missing values."""
     from contrail.operators.quality import schema_table
-    return schema_table(hot_events(spark, sf))
+    return schema_table(hot_events(spark, sf).select(*HOT_COLUMNS))
 
 
 @register("props_json_schema", _PROPS_SQL)

@@ -4,9 +4,10 @@ beats the mean predictor, save/load round trip, heuristic fallback."""
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
-from contrail.operators import ml
+from contrail.operators import insight, ml
 from contrail.operators.predict import predict_b
 from contrail.plans.views import hot_history
 from contrail.session import checkpoint_dir
@@ -30,11 +31,27 @@ def test_model_beats_mean_and_round_trips(spark):
     ml.save(fitted, path, metrics, "arr_delay")
     loaded = ml.load(spark, [os.path.join(path, "absent"), path])
     assert loaded is not None
-    again = loaded.transform(ml._prep(pred.select(*df.columns), ["month", "day_of_week", "crs_dep_time",
-                                                                   "distance", "dep_delay"]))
+    again = loaded.transform(pred.select(*df.columns))
     assert again.count() == pred.count()
     assert ml.predictor(None) is predict_b
     assert ml.load(spark, [os.path.join(path, "absent")]) is None
+    with pytest.raises(FileNotFoundError):
+        ml.load(spark, os.path.join(path, "absent"), required=True)
+    # a missing category is served as it is trained: as the mode
+    mode = ml.modes_of(insight.split(df.where("arr_delay is not null"))[0], ["origin"])["origin"]
+    rows = df.orderBy("flight_id").limit(20).drop("predicted_delay", "prediction_confidence")
+    blank, filled = ([r.predicted_delay for r in ml.predictor(loaded)(rows.withColumn("origin", F.lit(v).cast("string"))).orderBy("flight_id").collect()]
+                     for v in (None, mode))
+    assert blank == filled
+
+
+def test_split_and_sample_repeat(spark):
+    df = hot_history(spark, SF_SMALL)
+    tr, te = insight.split(df)
+    n = df.count()
+    assert tr.count() + te.count() == n and 0.75 * n < tr.count() < 0.85 * n
+    assert {r[0] for r in insight.sample(df, 50).select("flight_id").collect()} == {
+        r[0] for r in insight.sample(df.repartition(7), 50).select("flight_id").collect()}
 
 
 def test_gbt_fits(spark):
