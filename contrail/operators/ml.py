@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators.insight import split
 from contrail.operators.predict import predict_b
+from contrail.operators.quality import field_modes, field_quantiles
 
 NUMERIC_FEATURES = ["month", "day_of_week", "crs_dep_time", "distance", "dep_delay"]
 CATEGORICAL_FEATURES = ["airline_code", "origin", "dest"]
@@ -42,23 +43,18 @@ def pick_target(columns, preferred: str | None = "arr_delay") -> str:
 
 def column_census(df: DataFrame, numeric, categorical) -> DataFrame:
     """Per column the missing count, the exact median (numeric) and
-    the mode (categorical, ties -> smallest value); one aggregate."""
-    aggs = []
-    for c in numeric:
-        aggs.append(F.struct(F.lit(c).alias("field"), F.count_if(F.col(c).isNull()).alias("missing"),
-                             F.median(F.col(c).cast("double")).alias("median"),
-                             F.lit(None).cast("string").alias("mode")).alias(c))
-    for c in categorical:
-        aggs.append(F.struct(F.lit(c).alias("field"), F.count_if(F.col(c).isNull()).alias("missing"),
-                             F.lit(None).cast("double").alias("median"),
-                             F.mode(F.col(c), True).alias("mode")).alias(c))
-    row = df.agg(*aggs)
-    return row.select(F.inline(F.array(*[F.col(c) for c in list(numeric) + list(categorical)])))
+    the mode (categorical, ties -> smallest value), from the counts per value."""
+    cols = list(numeric) + list(categorical)
+    row = df.agg(*[F.struct(F.lit(c).alias("field"), F.count_if(F.col(c).isNull()).alias("missing")).alias(c) for c in cols])
+    long = row.select(F.inline(F.array(*[F.col(c) for c in cols])))
+    medians = field_quantiles(df, numeric, (0.5,)).withColumnRenamed("q0", "median")
+    return (long.join(medians, "field", "left").join(field_modes(df, categorical), "field", "left")
+            .select("field", "missing", "median", "mode"))
 
 
 def modes_of(train: DataFrame, cols) -> dict[str, str | None]:
-    """M2 (strings): the training mode of each column (one aggregate row)."""
-    return train.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first().asDict()
+    """M2 (strings): the training mode of each column (a row per column)."""
+    return {r["field"]: r["mode"] for r in field_modes(train, cols).collect()}
 
 
 def _inputs(numeric, categorical, modes: dict[str, str | None]) -> SQLTransformer:

@@ -7,12 +7,13 @@ the single result row into one row per column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.columns import dbl, pct
 from contrail.operators.trend import freshness
+from contrail.session import checkpoint_dir
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
@@ -64,49 +65,68 @@ def quality_score(df: DataFrame, as_of, key: str = "flight_id", ts_col: str = "t
                         .when(F.col("quality_score") >= 70, "good").otherwise("needs attention")))
 
 
-def describe_numeric(df: DataFrame, cols=None, *, quantiles: str = "auto",
-                     max_distinct: int = 1_000_000) -> DataFrame:
-    """Pandas ``describe()`` of the numeric columns: count, mean,
-    sample std, min, exact linear-interpolated quartiles, max.
+def _number(c: str):
+    """The column as a double, NaN as missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
+def _value_counts(df: DataFrame, cols, value) -> DataFrame:
+    """(field, x, n): how often each value stands in each column; one pass,
+    counted map-side before the shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("field"), value(c).alias("x")) for c in cols])
+    return (df.select(F.inline(pairs)).where(F.col("x").isNotNull())
+            .groupBy("field", "x").agg(F.count(F.lit(1)).alias("n")))
 
-    ``quantiles``: ``"map"`` computes the quartiles inside the one
-    aggregate (``percentile`` keeps a value -> count map, fine for columns
-    with few distinct values such as whole-minute delays); ``"rank"`` uses
-    ``exact_quantiles`` (distributed global rank, any size); ``"auto"``
-    picks per column from one approximate distinct count."""
-    cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)])
 
-    def x(c):
-        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    if quantiles == "auto":
-        nd = df.agg(*[F.approx_count_distinct(x(c)).alias(c) for c in cols]).first().asDict()
-        by_rank = {c for c in cols if nd[c] > max_distinct}
-    else:
-        by_rank = set(cols) if quantiles == "rank" else set()
-    aggs = []
-    for c in cols:
-        q = (F.array(*[F.lit(None).cast("double")] * 3) if c in by_rank
-             else F.percentile(x(c), F.array(dbl(0.25), dbl(0.5), dbl(0.75))))
-        aggs.append(F.struct(F.lit(c).alias("field"), F.count(x(c)).alias("count"), F.avg(x(c)).alias("mean"),
-                             F.stddev_samp(x(c)).alias("std"), F.min(x(c)).alias("min"),
-                             q.alias("q"), F.max(x(c)).alias("max")).alias(c))
-    row = df.agg(*aggs)
-    long = row.select(F.inline(F.array(*[F.col(c) for c in cols])))
-    out = long.select("field", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
-                      F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
-    if by_rank:
-        qs = None
-        for c in sorted(by_rank):
-            v = exact_quantiles(df, c, (0.25, 0.5, 0.75))
-            part = v.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
-                           for p, n in ((0.25, "r25"), (0.5, "r50"), (0.75, "r75"))]) \
-                .select(F.lit(c).alias("field"), "r25", "r50", "r75")
-            qs = part if qs is None else qs.unionByName(part)
-        out = (out.join(F.broadcast(qs), "field", "left")
-               .select("field", "count", "mean", "std", "min",
-                       F.coalesce("r25", "p25").alias("p25"), F.coalesce("r50", "p50").alias("p50"),
-                       F.coalesce("r75", "p75").alias("p75"), "max"))
-    return out
+def field_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact linear-interpolated quantiles ``q0, q1, ...`` of all columns in
+    one job, one row per column that has values.
+
+    The counts per value are range-partitioned and summed up along their
+    order; no task holds the values of a whole column.  They are
+    checkpointed, as range bounds are sampled anew on each execution."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = (_value_counts(df, cols, _number).repartitionByRange(parts, "field", "x")
+              .withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True))
+    per_part = counts.groupBy("field", "__pid").agg(F.sum("n").alias("__sum"))
+    field = Window.partitionBy("field")  # one row per partition and column
+    offsets = per_part.select("field", "__pid", (F.sum("__sum").over(field.orderBy("__pid")) - F.col("__sum")).alias("__off"),
+                              F.sum("__sum").over(field).alias("__all"))
+    here = F.sum("n").over(Window.partitionBy("__pid", "field").orderBy("x"))
+    ranked = counts.withColumn("__here", here).join(offsets, ["field", "__pid"])
+    end = F.col("__off") + F.col("__here")
+    aggs, out = [], []
+    for i, p in enumerate(probs):
+        pos = dbl(p) * (F.col("__all") - 1)
+        low = F.floor(pos)
+        for name, rank in (("lo", low), ("hi", F.least(low + 1, F.col("__all") - 1))):
+            aggs.append(F.max(F.when((end - F.col("n") <= rank) & (rank < end), F.col("x"))).alias(f"{name}{i}"))
+        aggs.append(F.max(pos - low).alias(f"part{i}"))
+        out.append((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")).alias(f"q{i}"))
+    return ranked.groupBy("field").agg(*aggs).select("field", *out)
+
+
+def field_modes(df: DataFrame, cols) -> DataFrame:
+    """(field, mode): the most frequent value of each column as text, of
+    equally frequent ones the smallest."""
+    counts = _value_counts(df, cols, lambda c: F.col(c).cast("string"))
+    return counts.groupBy("field").agg(F.min_by("x", F.struct(-F.col("n"), F.col("x"))).alias("mode"))
+
+
+def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
+    """Pandas ``describe()`` of the numeric columns: count, mean,
+    sample std, min, exact linear-interpolated quartiles, max.  One path for
+    every size (``field_quantiles``)."""
+    cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)])
+    aggs = [F.struct(F.lit(c).alias("field"), F.count(_number(c)).alias("count"), F.avg(_number(c)).alias("mean"),
+                     F.stddev_samp(_number(c)).alias("std"), F.min(_number(c)).alias("min"),
+                     F.max(_number(c)).alias("max")).alias(c) for c in cols]
+    long = df.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in cols])))
+    return (long.join(field_quantiles(df, cols), "field", "left")
+            .select("field", "count", "mean", "std", "min", F.col("q0").alias("p25"),
+                    F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max"))
 
 
 def schema_table(df: DataFrame) -> DataFrame:

@@ -58,12 +58,16 @@ def test_pandas_cross_checks(spark):
     assert quality.dup_stats(keyed).first().duplicates == int(pd.Series(["a", "a", None, None, "b"]).duplicated().sum())
 
 
-def test_describe_rank_equals_map(spark):
+def test_field_quantiles_equal_percentile(spark):
+    """Quantiles from counts per value against Spark's own, with a value that
+    most rows share and a column without values."""
     from contrail.operators import quality
     from contrail.plans.views import hot_history
-    df = hot_history(spark, SF_SMALL)
-    a = {r.field: r for r in quality.describe_numeric(df, ["distance", "dep_delay"], quantiles="map").collect()}
-    b = {r.field: r for r in quality.describe_numeric(df, ["distance", "dep_delay"], quantiles="rank").collect()}
-    for f in a:
-        for k in ("count", "mean", "std", "min", "p25", "p50", "p75", "max"):
-            assert abs(a[f][k] - b[f][k]) < 1e-9, (f, k)
+    df = hot_history(spark, SF_SMALL).select("distance", "dep_delay", F.lit(None).cast("double").alias("none"),
+                                             F.when(F.col("dep_delay") > 60, F.col("dep_delay")).otherwise(1.0).alias("flat"))
+    got = {r.field: r for r in quality.field_quantiles(df, df.columns).collect()}
+    assert set(got) == {"distance", "dep_delay", "flat"}
+    for c, r in got.items():
+        want = df.agg(F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
+        assert all(abs(x - y) < 1e-9 for x, y in zip((r.q0, r.q1, r.q2), want)), c
+    assert {r.field: r["count"] for r in quality.describe_numeric(df).collect()}["none"] == 0
