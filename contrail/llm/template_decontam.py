@@ -6,7 +6,9 @@ sentence) is a typed placeholder and equal neighbours of a placeholder are one.
 Windows of ``WINDOW`` template tokens are joined by hash: a question whose
 numbers, names or units were changed keeps its template.  Matches of an item
 and a document are aligned; the slots inside must be consistent, that is, each
-value of the item must stand for one value of the document throughout.
+value of the item must stand for one value of the document throughout.  Each
+alignment (a diagonal, or a chain of neighbouring ones) is judged alone, so that
+a second copy, a passage that repeats itself or a stray match takes nothing away.
 
 The benchmark's windows are the small side; they go to the tasks in slices of
 at most ``SLICE`` windows, each a hash table of bounded size, and a larger
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +148,73 @@ class Index:
             self.tables[w] = (names, np.append(first, own.sum()), at[own][order], bits)
 
 
+class Alignment(NamedTuple):
+    """Matches of an item and a document on one diagonal, or on several that
+    are read as one: ``covered`` has a bit for each token of the item, ``pairs``
+    the document's value of each slot (None: two values on one diagonal)."""
+
+    start: int
+    item_start: int
+    end: int
+    n_windows: int
+    longest: int
+    covered: int
+    pairs: dict[tuple[int, int], int] | None
+
+    def joined(self, other: Alignment) -> Alignment | None:
+        """Both as one; None if a slot would have two values."""
+        if self.pairs is None or other.pairs is None or any(self.pairs.get(k, v) != v for k, v in other.pairs.items()):
+            return None
+        return Alignment(min(self.start, other.start), min(self.item_start, other.item_start), max(self.end, other.end), self.n_windows + other.n_windows,
+                         max(self.longest, other.longest), self.covered | other.covered, self.pairs | other.pairs)
+
+
+def _alignment(t: Template, b_t: Template, doc_lo: int, item_lo: int, diagonal: int, hits: list[tuple[int, int]]) -> Alignment:
+    """The matches (place, width) of one diagonal."""
+    hits = sorted(set(hits))
+    covered, longest, run_from, run_to = 0, 0, hits[0][0], hits[0][0]
+    pairs: dict[tuple[int, int], int] | None = {}
+    shift = doc_lo + diagonal - item_lo
+    for p, w in hits:
+        if p > run_to:
+            run_from = p
+        run_to = max(run_to, p + w)
+        longest = max(longest, run_to - run_from)
+        covered |= ((1 << w) - 1) << (p - doc_lo - diagonal)
+        for k in range(p, p + w):
+            kind = int(b_t.kind[k - shift])
+            if kind != LITERAL and pairs is not None and pairs.setdefault((kind, int(b_t.value[k - shift])), int(t.value[k])) != int(t.value[k]):
+                pairs = None
+    return Alignment(hits[0][0], hits[0][0] - doc_lo - diagonal, run_to, len(hits), longest, covered, pairs)
+
+
+def _together(parts: list[Alignment]) -> Alignment | None:
+    """All diagonals as one, if every slot has one value in all of them."""
+    out: Alignment | None = parts[0] if parts[0].pairs is not None else None
+    for part in parts[1:]:
+        out = out and out.joined(part)
+    return out
+
+
+def _best_chain(parts: list[Alignment], n: int) -> Alignment | None:
+    """Of the consistent diagonals, alone or chained (later in the item and in
+    the document, with at most the item's length of other text between two),
+    the one that is a leak, or else covers most of the item."""
+    parts = sorted((x for x in parts if x.pairs is not None), key=lambda x: (x.start, x.item_start))
+    chains: list[Alignment] = []
+    for i, part in enumerate(parts):
+        best = part
+        for j in range(i - 1, -1, -1):
+            if part.start - parts[j].start > 2 * n:
+                break
+            if (parts[j].item_start < part.item_start and part.start - parts[j].end <= n
+                    and (chains[j].covered | part.covered).bit_count() > best.covered.bit_count()):
+                best = part.joined(chains[j]) or best
+        chains.append(best)
+    # a chain may be less than one of its ends: compare the diagonals too
+    return max(chains + parts, key=lambda x: (x.longest >= RUN or x.covered.bit_count() >= SHARE * n, x.covered.bit_count(), x.longest), default=None)
+
+
 def _matches(it: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     b_t = index.template
     names = ["doc_id", "item_id", "n_windows", "longest_run", "share", "n_slots", "n_changed", "consistent"]
@@ -165,25 +235,12 @@ def _matches(it: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBa
                     found[doc, item][(p - int(t.bounds[doc])) - (q - int(b_t.bounds[item]))].append((p, w))
         rows, ids = [], b.column("doc_id").to_pylist()
         for (doc, item), diagonals in sorted(found.items()):
-            lo, hi = int(b_t.bounds[item]), int(b_t.bounds[item + 1])
-            covered, longest, n_windows = np.zeros(hi - lo, bool), 0, 0
-            pairs: dict[tuple[int, int], set[int]] = defaultdict(set)
-            for d, hits in diagonals.items():
-                run_from = run_to = None
-                for p, w in sorted(set(hits)):
-                    n_windows += 1
-                    if run_to is None or p > run_to:
-                        run_from = p
-                    run_to = max(run_to or 0, p + w)
-                    longest = max(longest, run_to - run_from)
-                    q = p - int(t.bounds[doc]) - d
-                    covered[q:q + w] = True
-                    for k in range(w):
-                        kind = int(b_t.kind[lo + q + k])
-                        if kind != LITERAL:
-                            pairs[kind, int(b_t.value[lo + q + k])].add(int(t.value[p + k]))
-            changed = sum(v != {x} for (_, x), v in pairs.items())
-            rows.append((ids[doc], index.ids[item], n_windows, longest, float(covered.mean()), len(pairs), changed, all(len(v) == 1 for v in pairs.values())))
+            parts = [_alignment(t, b_t, int(t.bounds[doc]), int(b_t.bounds[item]), d, hits) for d, hits in diagonals.items()]
+            n = int(b_t.bounds[item + 1] - b_t.bounds[item])
+            best = _together(parts) or _best_chain(parts, n)
+            if best is not None:
+                changed = sum(v != x for (_, x), v in best.pairs.items())
+                rows.append((ids[doc], index.ids[item], best.n_windows, best.longest, best.covered.bit_count() / n, len(best.pairs), changed, True))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -191,7 +248,8 @@ def _matches(it: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBa
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item in it: doc_id, item_id,
     n_windows, longest_run (template tokens), share (of the item's template
-    tokens), n_slots, n_changed (slots with another value), consistent.  A
+    tokens), n_slots, n_changed (slots with another value), consistent; all
+    of the item's matches if they are consistent, else of its best alignment.  A
     leak has consistent slots and a run of ``RUN`` tokens or ``SHARE`` of the
     item."""
     src = documents_of(docs, id_col, text_col)

@@ -171,6 +171,21 @@ def test_decontamination(spark, none):
     assert find_leaks(none, bench).count() == 0 and find_leaks(docs, bench.where("item_id is null")).count() == 0
 
 
+def test_decontamination_judges_each_alignment(spark):
+    item = "On a cold day Peter walked 12 km to the market and bought 30 apples for 5 dollars because he wanted to bake 2 pies"
+    other = item.replace("12", "17").replace("30", "44")
+    third = item.replace("12", "19").replace("30", "48")
+    train = "the train arrives at 5 pm on Monday from the north and the train arrives at 7 pm on Monday from the south"
+    filler = " and then a good many other words stood in this long document before anything else was said about it. " * 3
+    stray = "he walked 99 km to the market and bought 31 apples"
+    halves = item.replace("bought", "then he quickly bought")
+    bench = spark.createDataFrame([(1, item), (2, train)], "item_id long, text string")
+    rows = [(1, item + filler + other), (2, other + ". " + third), (3, "x " + train + " y"), (4, item + filler + stray), (5, stray + filler + halves), (6, stray + filler + "nothing else")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(docs, bench).collect()}
+    assert got >= {(1, 1), (2, 1), (3, 2), (4, 1), (5, 1)} and not got & {(3, 1), (6, 2)}
+
+
 def test_license_scan(spark, none):
     mit = KNOWN["MIT"]
     rows = [(1, "Copyright (c) 2020 Somebody\n\n" + mit.upper().replace(" ", "  "), 0), (2, "text\nreleased under the MIT Licence!\nmore", 0), (3, None, 0), (4, "Copyright 1999 x", 0), (5, mit + " more", 0), (None, mit, 0), (1, mit, 0)]
