@@ -63,7 +63,7 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     at, lo = np.arange(len(h)), words.bounds[:-1]
     doc = np.repeat(np.arange(words.n_docs), n)
     x = np.zeros(len(h), np.uint64)
-    for k in range(width):
+    for k in range(min(width, len(h))):
         x[:len(h) - k] = x[:len(h) - k] * M1 + h[k:]
     x = mix(x)
     full = at + width <= words.bounds[1:][doc]

@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from contrail.llm.common import Words
 from contrail.llm.html_wrapper import Page, main_text, match
 from contrail.llm.license_scan import KNOWN, license_scan
-from contrail.llm.minhash_hamming import chunk_sizes, error_bound, near_duplicates
+from contrail.llm.minhash_hamming import chunk_sizes, error_bound, near_duplicates, shingles, signatures
 from contrail.llm.packing import Encoder, combinations, nnls, pack, plan
 from contrail.llm.quality_classifier import fit, held_out, quality_scores
 from contrail.llm.quality_rules import POLICIES, ablations, apply_policy, ledger, mask_of, measure
@@ -82,6 +83,16 @@ def test_near_duplicates(docs, none, width):
     assert with_null[13].kept and with_null[13].n_shingles == 0
 
 
+def test_near_duplicates_of_one_short_document(spark):
+    for n in range(1, 5):
+        text = np.frombuffer(" ".join("abcd"[:n]).encode(), np.uint8)
+        for width in (2, 5):
+            x, off = shingles(Words(text, np.array([0, len(text)])), width)
+            assert len(x) == max(1, n - width + 1) and off.tolist() == [0, len(x)]
+    table = spark.createDataFrame([(7, "a b c")], "doc_id long, text string")
+    assert [tuple(r) for r in near_duplicates(table).collect()] == [(7, 1, 7, True)]
+
+
 def test_signature_guarantee():
     bound = error_bound(0.8, 64)
     sizes = chunk_sizes(64, bound)
