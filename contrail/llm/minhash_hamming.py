@@ -100,7 +100,8 @@ def signatures(x: np.ndarray, offsets: np.ndarray, n_symbols: int, chunk: int =
 
 
 def _sketch(sig: np.ndarray) -> np.ndarray:
-    """The lowest bit of each symbol, as bytes."""
+    """The lowest bit of each symbol, as bytes: never more bits differ than
+    symbols, so the signature's bound holds for it too."""
     return np.packbits((sig & 1).astype(np.uint8), axis=1)
 
 
@@ -185,7 +186,7 @@ def _meet_first(sig: np.ndarray, one: np.ndarray, sizes: list[int], place: int)
     return first == place
 
 
-def _candidates(table: pa.Table, sizes: list[int], bound: int, sketch_bound: int):
+def _candidates(table: pa.Table, sizes: list[int], bound: int):
     """Yields each query row with the rows of other components within the
     distance that it meets here first."""
     rep, comp, sig, query, place = _cell(table)
@@ -195,7 +196,7 @@ def _candidates(table: pa.Table, sizes: list[int], bound: int, sketch_bound: int
     sketch = packed.view(np.uint64)[:, 0]
     base = np.flatnonzero(~query)
     for q in np.flatnonzero(query):
-        near = base[(np.bitwise_count(sketch[base] ^ sketch[q]) <= sketch_bound) & (comp[base] != comp[q])]
+        near = base[(np.bitwise_count(sketch[base] ^ sketch[q]) <= bound) & (comp[base] != comp[q])]
         near = near[np.count_nonzero(sig[near] != sig[q], axis=1) <= bound]
         if len(near):
             near = near[_meet_first(sig[near], sig[q], sizes, place)]
@@ -203,12 +204,12 @@ def _candidates(table: pa.Table, sizes: list[int], bound: int, sketch_bound: int
                 yield q, near, rep, comp
 
 
-def _participants(sizes: list[int], bound: int, sketch_bound: int):
+def _participants(sizes: list[int], bound: int):
     """The rows of a cell that have a candidate there: at most its rows."""
 
     def cell(table: pa.Table) -> pa.Table:
         hit = np.zeros(table.num_rows, bool)
-        for q, near, _, _ in _candidates(table, sizes, bound, sketch_bound):
+        for q, near, _, _ in _candidates(table, sizes, bound):
             hit[q] = True
             hit[near] = True
         return table.filter(pa.array(hit))
@@ -216,7 +217,7 @@ def _participants(sizes: list[int], bound: int, sketch_bound: int):
     return cell
 
 
-def _links(sizes: list[int], bound: int, sketch_bound: int, percent: int):
+def _links(sizes: list[int], bound: int, percent: int):
     """Confirmed candidates of a cell, one per query row and other
     component.  Sets come as 32-bit items; the caller confirms on full ones,
     so a unit of percent is left for equal items by chance."""
@@ -227,7 +228,7 @@ def _links(sizes: list[int], bound: int, sketch_bound: int, percent: int):
         known, dense = np.unique(np.concatenate(raw), return_inverse=True)
         first = np.append(0, np.cumsum(size))
         mark, found = np.zeros(len(known), np.int32), []
-        for q, near, rep, comp in _candidates(table, sizes, bound, sketch_bound):
+        for q, near, rep, comp in _candidates(table, sizes, bound):
             own = dense[first[q]:first[q + 1]]
             mark[own] = 1
             at = np.concatenate([dense[first[i]:first[i + 1]] for i in near])
@@ -258,8 +259,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     src = documents_of(docs, id_col, text_col)
     bound = error_bound(percent / 100, n_symbols)
     sizes = chunk_sizes(n_symbols, bound)
-    # the lowest bits of 64 symbols: half of the errors show
-    sketch_bound = ceil(min(64, n_symbols) * (1 - percent / 100) / 2 + 5 * sqrt(min(64, n_symbols) * 0.25 * (1 - percent / 100)))
     signed = materialise(src.mapInArrow(lambda it: _signed(it, shingle_words, n_symbols),
                                         "doc_id long, n_shingles long, set_a long, set_b long, sig binary"))
     release(docs.sparkSession)
@@ -276,7 +275,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     met = met.where("rep != lo").select("rep", "sketch", F.col("lo").alias("hub")).union(met.where("rep != hi").select("rep", "sketch", F.col("hi").alias("hub"))).distinct()
     sketches = one.withColumn("component", F.col("rep")).mapInArrow(lambda it: _keys(it, [n_symbols]), key_schema).where("place = 0").select(F.col("rep").alias("hub"), F.col("sketch").alias("hub_sketch"))
     errors = F.expr("bit_count(sketch ^ hub_sketch)")
-    star = materialise(met.join(sketches, "hub").where(errors <= sketch_bound).groupBy(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).agg(F.min(errors).alias("errors")))
+    star = materialise(met.join(sketches, "hub").where(errors <= bound).groupBy(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).agg(F.min(errors).alias("errors")))
     release(docs.sparkSession)
     texts = src.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("rep"), "data")
 
@@ -319,11 +318,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     base = rows.withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int")).withColumn("query", F.lit(False)).select(*cols)
     query = rows.where("component != first").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("query", F.lit(True)).select(*cols)
     cell_schema = "key long, cell int, place int, rep long, component long, sig binary, query boolean"
-    part = materialise(base.union(query).groupBy("key", "cell").applyInArrow(_participants(sizes, bound, sketch_bound), cell_schema))
+    part = materialise(base.union(query).groupBy("key", "cell").applyInArrow(_participants(sizes, bound), cell_schema))
     release(docs.sparkSession)
     if part.limit(1).count():
         with_sets = part.join(sets_of(part.select("rep").distinct(), short=True), "rep").select(*cols, "items")
-        found = materialise(with_sets.groupBy("key", "cell").applyInArrow(_links(sizes, bound, sketch_bound, percent), "a long, b long").distinct())
+        found = materialise(with_sets.groupBy("key", "cell").applyInArrow(_links(sizes, bound, percent), "a long, b long").distinct())
         release(docs.sparkSession)
         links, new = joined(links, found)
         labels = new if new is not None else labels

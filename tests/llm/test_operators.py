@@ -93,6 +93,24 @@ def test_near_duplicates_of_one_short_document(spark):
     assert [tuple(r) for r in near_duplicates(table).collect()] == [(7, 1, 7, True)]
 
 
+def test_pairs_within_the_signature_distance_are_found(spark):
+    # pairs at just 80 percent (80 of 100 words) whose signatures' low bits differ in more than half of the most symbols that may
+    rng, bound, rows = random.Random(5), error_bound(0.8, 64), []
+
+    def signed(texts):
+        raw = [t.encode() for t in texts]
+        return signatures(*shingles(Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(x) for x in raw])), 1), 64)
+
+    while len(rows) < 6:
+        texts = [[f"{rng.getrandbits(40):x}" for _ in range(100)] for _ in range(4000)]
+        left, right = [" ".join(w[:90]) for w in texts], [" ".join(w[:80] + w[90:]) for w in texts]
+        a, b = signed(left), signed(right)
+        for i in np.flatnonzero((((a ^ b) & 1).sum(axis=1) > 16) & ((a != b).sum(axis=1) <= bound)):
+            rows += [(len(rows), left[i]), (len(rows) + 1, right[i])]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=1).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.components(rows, 1) == {d: (90, d - d % 2) for d, _ in rows}
+
+
 def test_signature_guarantee():
     bound = error_bound(0.8, 64)
     sizes = chunk_sizes(64, bound)
