@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.session import checkpoint_dir
@@ -62,6 +62,12 @@ def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("data"))
 
 
+def text_key(data: Column) -> Column:
+    """A number for a text: rows of one id and one text fare alike, so (id,
+    text) joins what an operator says about them, null ids included."""
+    return F.xxhash64(F.coalesce(data.cast("string"), F.lit("")).cast("binary"))
+
+
 def total_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("data"))).first()[0] or 0
 

@@ -23,7 +23,8 @@ so; components come from those links.
 Defined cases: null, empty or blank text has no shingles and links with
 nothing; fewer words than a shingle count as one shorter shingle; a null id
 sorts last, and rows with a null id come back with a null id; repeated rows
-come back as rows; an empty table gives an empty result; other columns are
+come back as rows; rows of one id, or of none, with different texts are judged
+each by its own text; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import M1, M2, M3, NULL_ID, Words, batches, buffers, connected_components, documents_of, ids_of, materialise, mix, release
+from contrail.llm.common import M1, M2, M3, NULL_ID, Words, batches, buffers, connected_components, documents_of, ids_of, materialise, mix, release, text_key
 
 BITS = 16
 #: Rows of one key that a task compares at a time with the rest of the key.
@@ -114,8 +115,8 @@ def _signed(table: Iterator[pa.RecordBatch], width: int, n_symbols: int) -> Iter
         if len(full):
             sums[0, full] = mix(np.add.reduceat(x, off[full]) + np.diff(off)[full].astype(np.uint64))
             sums[1, full] = mix(np.bitwise_xor.reduceat(mix(x + M3), off[full]))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
-                                          pa.array([r.tobytes() for r in sig], pa.binary())], names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(np.diff(off), pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
+                                          pa.array([r.tobytes() for r in sig], pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "sig"])
 
 
 def _keys(it: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
@@ -252,20 +253,22 @@ def _links(sizes: list[int], bound: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, n_symbols: int = 64,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id
     reachable over links of at least ``percent`` similarity), kept (doc_id =
-    component_id; of rows that repeat an id, each)."""
-    src = documents_of(docs, id_col, text_col)
+    component_id; of rows that repeat an id, each); ``with_key`` adds text_key
+    (as ``text_key`` gives it), to join rows of one id and different texts."""
+    src = documents_of(docs, id_col, text_col).withColumn("text_key", text_key(F.col("data")))
     bound = error_bound(percent / 100, n_symbols)
     sizes = chunk_sizes(n_symbols, bound)
     signed = materialise(src.mapInArrow(lambda it: _signed(it, shingle_words, n_symbols),
-                                        "doc_id long, n_shingles long, set_a long, set_b long, sig binary"))
+                                        "doc_id long, text_key long, n_shingles long, set_a long, set_b long, sig binary"))
     release(docs.sparkSession)
-    # classes of equal sets; the smallest id stands for the class
+    # classes of equal sets, named by the set's digest; the smallest row (id, then text) gives the class its text
     classes = materialise(signed.where("n_shingles > 0").groupBy("set_a", "set_b")
-                          .agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("rep"), F.first("sig").alias("sig")))
-    one = materialise(classes.groupBy("rep").agg(F.first("sig").alias("sig")))  # sets of rows that repeat an id are one component
+                          .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text_key")).alias("row"), F.first("sig").alias("sig"))
+                          .select("set_a", "set_b", F.col("set_a").alias("rep"), "row.id", "row.text_key", "sig"))
+    one = classes.select("rep", "sig")
     release(docs.sparkSession)
     key_schema = "key long, place int, rep long, component long, sketch long"
     keys = one.withColumn("component", F.col("rep")).mapInArrow(lambda it: _keys(it, sizes), key_schema).select("key", "rep", "sketch")
@@ -277,11 +280,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     errors = F.expr("bit_count(sketch ^ hub_sketch)")
     star = materialise(met.join(sketches, "hub").where(errors <= bound).groupBy(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).agg(F.min(errors).alias("errors")))
     release(docs.sparkSession)
-    texts = src.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("rep"), "data")
+    texts = src.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), "text_key", "data")
 
     def sets_of(ids: DataFrame, short: bool = False) -> DataFrame:
         # the ids grow with the documents: never broadcast them, whatever their size is today
-        return materialise(texts.join(ids.hint("merge"), "rep", "left_semi").mapInArrow(lambda it: _sets(it, shingle_words, short), "rep long, items binary"))
+        rows = classes.select("rep", "id", "text_key").join(ids.hint("merge"), "rep", "left_semi")
+        # one text of a class, also where its row is repeated; the join has brought equal rows together
+        one_text = texts.join(rows.hint("merge"), ["id", "text_key"]).groupBy("id", "text_key").agg(F.first("rep").alias("rep"), F.first("data").alias("data"))
+        return materialise(one_text.mapInArrow(lambda it: _sets(it, shingle_words, short), "rep long, items binary"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets reach the threshold."""
@@ -326,8 +332,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         release(docs.sparkSession)
         links, new = joined(links, found)
         labels = new if new is not None else labels
-    class_of = classes.select("set_a", "set_b", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("component", "rep").alias("c"))
+    # ids only name components: the smallest one of all rows in it
+    named = classes.select("set_a", "set_b", "rep", "id").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", "id", F.col("component"))
+    names = named.where("component is not null").groupBy("component").agg(F.min("id").alias("name"))
+    class_of = named.join(names, "component", "left").select("set_a", "set_b", F.coalesce("name", "id").alias("c"))
     out = signed.join(class_of, ["set_a", "set_b"], "left")
     c = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.coalesce("doc_id", F.lit(NULL_ID)))
     c = F.when(c == NULL_ID, F.lit(None)).otherwise(c).cast("long")
-    return out.select("doc_id", "n_shingles", c.alias("component_id"), F.coalesce("doc_id", F.lit(NULL_ID)).eqNullSafe(F.coalesce(c, F.lit(NULL_ID))).alias("kept"))
+    kept = F.coalesce("doc_id", F.lit(NULL_ID)).eqNullSafe(F.coalesce(c, F.lit(NULL_ID)))
+    return out.select("doc_id", "n_shingles", c.alias("component_id"), kept.alias("kept"), *["text_key"] * with_key)

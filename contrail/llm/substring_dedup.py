@@ -44,10 +44,11 @@ class WordSequence:
 def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (kept
     words joined by one space), repeats (first word and end of each maximal
-    repeat); ``with_text`` adds kept (those words as text)."""
+    repeat); ``with_text`` adds kept (those words as text) and text_sha256 (of
+    the whole text)."""
     shape = Shape(min_words, min(SEED_WORDS, min_words))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
-                        ("repeats", pa.list_(pa.list_(pa.int64())))] + [("kept", pa.string())] * with_text)
+                        ("repeats", pa.list_(pa.list_(pa.int64())))] + [("kept", pa.string()), ("text_sha256", pa.string())] * with_text)
 
     def finish(b, lo, hi):
         rows = []
@@ -82,8 +83,8 @@ def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id"
                     piece = b""
                 doc = int(b.ids[i])
                 spans = [[x - a, y - a] for x, y in zip(lo[s].tolist(), hi[s].tolist())]
-                rows.append((None if doc == NULL_ID else doc, z - a, z - a - n_kept, hashlib.sha256(piece).hexdigest(), spans) + ((piece.decode("utf-8", "replace"),) if with_text else ()))
+                rows.append((None if doc == NULL_ID else doc, z - a, z - a - n_kept, hashlib.sha256(piece).hexdigest(), spans) + ((piece.decode("utf-8", "replace"), hashlib.sha256(b.buf[b.offsets[i]:b.offsets[i + 1]].tobytes()).hexdigest()) if with_text else ()))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
     return remove_repeats(docs, shape, WordSequence, finish,
-                          "doc_id long, n_words long, n_removed long, kept_sha256 string, repeats array<array<long>>" + ", kept string" * with_text, id_col, text_col, per_symbol_bytes=5)
+                          "doc_id long, n_words long, n_removed long, kept_sha256 string, repeats array<array<long>>" + ", kept string, text_sha256 string" * with_text, id_col, text_col, per_symbol_bytes=5)

@@ -11,10 +11,10 @@ have no SQL form; tests compare the stages with brute force.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm.common import NULL_ID, materialise
+from contrail.llm.common import NULL_ID, materialise, text_key
 from contrail.llm.minhash_hamming import near_duplicates
 from contrail.llm.packing import pack
 from contrail.llm.quality_classifier import fit, predict_kept
@@ -25,6 +25,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
+def row_id() -> Column:
+    return F.coalesce("doc_id", F.lit(NULL_ID))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -34,15 +38,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles,
     similarity of 0.8 or more): that of the smallest id."""
-    kept = near_duplicates(docs, shingle_words=5, percent=80).where("kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k")).distinct()
-    return docs.select(*COLUMNS).join(kept, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("k"), "left_semi")
+    kept = near_duplicates(docs, shingle_words=5, percent=80, with_key=True).where("kept").select(row_id().alias("k"), F.col("text_key").alias("t")).distinct()
+    return docs.select(*COLUMNS).join(kept, (row_id() == F.col("k")) & (text_key(F.col("text")) == F.col("t")), "left_semi")
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of passages that an earlier document has; a
     text that loses none stays as it is, one that loses all goes."""
-    cut = substring_dedup(docs, 13, with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("k"), F.col("kept").alias("rest"))
-    out = docs.select(*COLUMNS).join(cut, F.col("doc_id") == F.col("k"), "left").where("rest is null or rest != ''")
+    cut = substring_dedup(docs, 13, with_text=True).where("n_removed > 0").select(row_id().alias("k"), F.col("text_sha256").alias("t"), F.col("kept").alias("rest"))
+    cut = cut.groupBy("k", "t").agg(F.first("rest").alias("rest"))  # rows of one id and one text lose the same
+    own = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    out = docs.select(*COLUMNS).join(cut, (row_id() == F.col("k")) & (own == F.col("t")), "left").where("rest is null or rest != ''")
     text = F.coalesce("rest", "text")
     return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("rest").isNull(), F.col("n_chars")).otherwise(F.length("rest")).cast("long").alias("n_chars"))
 

@@ -93,6 +93,15 @@ def test_near_duplicates_of_one_short_document(spark):
     assert [tuple(r) for r in near_duplicates(table).collect()] == [(7, 1, 7, True)]
 
 
+def test_near_duplicates_of_rows_without_an_id_of_their_own(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (words(rng, 80) for _ in range(5))
+    rows = [(1, a), (2, b), (9, a + " x"), (9, b + " y"), (9, c), (12, c + " z"), (None, a + " v"), (None, d), (None, e), (None, e), (30, d + " u")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), shingle_words=2).collect()
+    want = [(1, 1, True), (2, 2, True), (9, 1, False), (9, 2, False), (9, 9, True), (12, 9, False), (None, 1, False), (None, 30, False), (None, None, True), (None, None, True), (30, 30, True)]
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in got) == Counter(want)
+
+
 def test_pairs_within_the_signature_distance_are_found(spark):
     # pairs at just 80 percent (80 of 100 words) whose signatures' low bits differ in more than half of the most symbols that may
     rng, bound, rows = random.Random(5), error_bound(0.8, 64), []

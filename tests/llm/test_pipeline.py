@@ -1,5 +1,7 @@
 """The pipeline on a small table, and the registered queries with SQL."""
 
+import random
+
 import pytest
 
 import __spark_entry__ as E
@@ -32,6 +34,20 @@ def test_stages(spark):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in clean.collect()}
 
 
+def test_stages_keep_rows_without_an_id_of_their_own(spark):
+    rng = random.Random(6)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(4000)}" for _ in range(80)) for _ in range(5))
+    rows = [(1, a), (9, a + " x"), (9, b), (None, a + " v"), (None, c)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.near_dedup(spark, docs, SF_SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, a), (9, b), (0, c)])
+    part = " ".join(a.split()[:30])
+    rows = [(1, a), (5, part + " " + d), (5, part + " " + e), (None, part + " " + c), (None, part + " " + c)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    got = P.substrings(spark, docs, SF_SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text, r.n_chars) for r in got) == sorted((i, t, len(t)) for i, t in [(1, a), (5, d), (5, e), (0, c), (0, c)])
+
+
 @pytest.mark.parametrize("name", [n for n in E.oracle_sql() if n.startswith("op") and n[2].isdigit()])
 def test_queries_match_sql(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
