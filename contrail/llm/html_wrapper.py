@@ -3,7 +3,9 @@
 Each page is parsed to an element tree; runs of equal siblings fold into one
 node, so a tree has the size of the page's layout, not of its text.  The trees
 of a host are aligned by simple tree matching and merged into one wrapper: a
-node holds whether its text was the same on all pages seen.  Wrappers are merged
+node holds whether its text was the same on all pages seen, and which of its
+lines all of them have, so a constant sibling shows beside varying ones that share
+its node (rows of a list or table are judged together).  Wrappers are merged
 first within a task, then in parts of a host, then per host, so a host with a
 third of all pages costs each step one small tree per task.
 
@@ -53,6 +55,8 @@ CLOSES = {
 #: Words in class, id and role that mark a template node.
 NOISE = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs header footer sidebar aside widget cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended comment comments reply replies disqus form search login signup complementary contentinfo".split())
 MAIN = frozenset(("article", "main"))
+#: Rows of a list or table: judged together, as a constant row among varying ones is content.
+ROWS = frozenset("li dt dd tr td th option".split())
 
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|(/?)([A-Za-z][^\s/>]*)([^>]*)>)""", re.S)
 _MARK = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -134,8 +138,10 @@ class Page:
         n = len(self.labels)
         last: list[list[int]] = [[]]  # children of a folded node
         self.fold, self.fold_label = [0] * n, ["#"]
+        self.in_row = [False] * n
         for i in range(1, n):
             up = self.fold[self.parents[i]]
+            self.in_row[i] = self.in_row[self.parents[i]] or self.labels[i].rstrip("!") in ROWS
             kids = last[up]
             # equal siblings anywhere in a row share the node; the row ends at another label
             if kids and self.fold_label[kids[-1]] == self.labels[i]:
@@ -147,15 +153,27 @@ class Page:
                 kids.append(self.fold[i])
         self.children = last
 
+    def line_marks(self) -> dict[int, int]:
+        """A mark of the whole text of each block."""
+        blocks: dict[int, list[str]] = {}
+        for _, block, t in self.texts:
+            blocks.setdefault(block, []).append(t)
+        return {block: crc32(" ".join("".join(parts).split()).encode("utf-8", "replace")) for block, parts in blocks.items()}
+
     def tree(self) -> list:
-        """[label, children, page marks, text mark] of the folded tree; the
-        text mark is of the node's own texts."""
+        """[label, children, page marks, text mark, line marks] of the folded
+        tree; the text mark is of the node's own texts, the line marks are of
+        the distinct lines that they stand in."""
         own: dict[int, list[str]] = {}
-        for e, _, t in self.texts:
+        lines: dict[int, set[int]] = {}
+        marks = self.line_marks()
+        for e, block, t in self.texts:
             if t := t.strip():
                 own.setdefault(self.fold[e], []).append(t)
+                if not self.in_row[e]:
+                    lines.setdefault(self.fold[e], set()).add(marks[block])
         page = crc32("\n".join(t for k in sorted(own) for t in own[k]).encode("utf-8", "replace"))
-        nodes = [[label, [], [page], crc32("\n".join(own.get(i, [])).encode("utf-8", "replace"))] for i, label in enumerate(self.fold_label)]
+        nodes = [[label, [], [page], crc32("\n".join(own.get(i, [])).encode("utf-8", "replace")), sorted(lines.get(i, ()))] for i, label in enumerate(self.fold_label)]
         for i, kids in enumerate(self.children):
             nodes[i][1] = [nodes[k] for k in kids]
         return nodes[0]
@@ -210,7 +228,7 @@ def merge(a: list, b: list, memo: dict) -> list:
             kids.append(merge(a[1][x], b[1][y], memo))
         i, j = x + 1, y + 1
     marks = sorted({*a[2], *b[2]})[:MIN_PAGES]
-    return [a[0], kids, marks, a[3] if a[3] == b[3] else None]
+    return [a[0], kids, marks, a[3] if a[3] == b[3] else None, a[4] if a[4] == b[4] else sorted({*a[4]} & {*b[4]})]
 
 
 def merged(trees: list[list]) -> list:
@@ -220,8 +238,8 @@ def merged(trees: list[list]) -> list:
     return out
 
 
-def template_nodes(page: Page, wrapper: list) -> list[bool]:
-    """For each folded node of a page: is it template?"""
+def template_texts(page: Page, wrapper: list | None) -> list[bool]:
+    """For each text of a page: is it template?"""
     tree = page.tree()
     noise = ["!" in label for label in page.fold_label]
     has_main = any(label in MAIN for label in page.fold_label)
@@ -232,23 +250,28 @@ def template_nodes(page: Page, wrapper: list) -> list[bool]:
         index[id(node)] = i
         todo += zip(node[1], page.children[i])
     out, memo = [False] * len(noise), {}
+    known: list[frozenset[int]] = [frozenset()] * len(noise)  # lines of a node that all pages have
     todo = [(tree, wrapper, False, False)]
     while todo:
         node, other, dropped, inside = todo.pop()
         i = index[id(node)]
         inside = inside or node[0] in MAIN
         dropped = dropped or noise[i]
-        constant = other is not None and other[3] is not None and len(other[2]) >= MIN_PAGES
+        seen = other is not None and len(other[2]) >= MIN_PAGES
+        constant = seen and other[3] is not None
         out[i] = dropped or (not inside and (constant or has_main))
+        if seen and not inside:
+            known[i] = frozenset(other[4])
         pairs = dict(aligned(node, other, memo)) if other is not None else {}
         todo += [(c, other[1][pairs[k]] if k in pairs else None, dropped, inside) for k, c in enumerate(node[1])]
-    return out
+    marks = page.line_marks()
+    return [out[page.fold[e]] or (not page.in_row[e] and marks[block] in known[page.fold[e]]) for e, block, _ in page.texts]
 
 
 def extract(page: Page, template: list[bool]) -> str:
     blocks: dict[int, list[str]] = {}
-    for e, block, text in page.texts:
-        if not template[page.fold[e]]:
+    for (_, block, text), dropped in zip(page.texts, template):
+        if not dropped:
             blocks.setdefault(block, []).append(html.unescape(text))
     lines = (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
@@ -281,7 +304,7 @@ def _extracted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known.clear()
                 known[host] = json.loads(wrapper) if wrapper else None
             page = Page(source)
-            texts.append(extract(page, template_nodes(page, known[host])))
+            texts.append(extract(page, template_texts(page, known[host])))
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                          names=["page_id", "url", "text", "n_chars"])
 

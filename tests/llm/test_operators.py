@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm.common import Words
-from contrail.llm.html_wrapper import Page, main_text, match
+from contrail.llm.html_wrapper import Page, extract, main_text, match, merged, template_texts
 from contrail.llm.license_scan import KNOWN, license_scan
 from contrail.llm.minhash_hamming import chunk_sizes, error_bound, near_duplicates, shingles, signatures
 from contrail.llm.packing import Encoder, combinations, nnls, pack, plan
@@ -251,6 +251,19 @@ def test_html_wrapper(spark):
     assert match(a, b, {}) == 4  # root, div, ul, li
 
 
+def texts_of(sources):
+    wrapper = merged([Page(x).tree() for x in sources])
+    return [extract(p, template_texts(p, wrapper)) for p in map(Page, sources)]
+
+
+def test_html_wrapper_constant_siblings():
+    divs = "<body><div id=top>site words</div><div id=page>text {0}</div><div id=bottom>footer words</div></body>"
+    paragraphs = "<body><p>All rights reserved</p><p>first {0}</p><p>second <b>bold {0}</b></p><p>About us</p></body>"
+    assert texts_of([divs.format(i) for i in range(4)]) == [f"text {i}" for i in range(4)]
+    assert texts_of([paragraphs.format(i) for i in range(4)]) == [f"first {i}\nsecond bold {i}" for i in range(4)]
+    assert texts_of([divs.format(i) for i in range(2)])[1] == "site words\ntext 1\nfooter words"  # two pages show nothing
+
+
 def test_quality_classifier(spark, docs, none):
     rng = random.Random(4)
     rows = []
