@@ -13,7 +13,7 @@ A page is then aligned with its host's wrapper.  Nodes of the roles menu,
 header, footer, sidebar, notice, advert, form, script, style and reader comment
 are template, whatever they hold; so are nodes outside a marked article whose
 text was constant on ``MIN_PAGES`` different pages.  The varying slots are the
-content, all of the marked article where there is one.
+content; where a marked article holds most of them, it alone, as a whole.
 
 Defined cases: null or empty html gives an empty text; a null url is a host of
 its own name ''; unclosed and crossed tags end where their parents end; nesting
@@ -60,13 +60,16 @@ ROWS = frozenset("li dt dd tr td th option".split())
 
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|(/?)([A-Za-z][^\s/>]*)([^>]*)>)""", re.S)
 _MARK = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[A-Za-z]+")
+_PARTS = re.compile(r"[-_]+")
+#: Elements that the words say nothing about: a class of theirs speaks of the whole page or text.
+WHOLE = frozenset("html body main article h1".split())
 _ENDS: dict[str, re.Pattern] = {}
 
 
 def _noisy(attributes: str) -> bool:
     for _, a, b, c in _MARK.findall(attributes):
-        if any(w.lower() in NOISE for w in _WORD.findall(a or b or c)):
+        # whole tokens ("comments", "cookie-notice"), not words inside them ("has-sidebar", "comments-open")
+        if any(all(w in NOISE for w in _PARTS.split(token)) for token in (a or b or c).lower().split()):
             return True
     return False
 
@@ -117,7 +120,7 @@ class Page:
                 if name == "br":
                     self.texts.append((stack[-1], block, " "))
                 continue
-            noisy = name in DROPPED or (bool(attributes) and _noisy(attributes))
+            noisy = name in DROPPED or (name not in WHOLE and bool(attributes) and _noisy(attributes))
             if len(stack) <= MAX_DEPTH:
                 self.labels.append(name + "!" * noisy)
                 self.parents.append(stack[-1])
@@ -242,30 +245,41 @@ def template_texts(page: Page, wrapper: list | None) -> list[bool]:
     """For each text of a page: is it template?"""
     tree = page.tree()
     noise = ["!" in label for label in page.fold_label]
-    has_main = any(label in MAIN for label in page.fold_label)
     index = {}
     todo = [(tree, 0)]
     while todo:
         node, i = todo.pop()
         index[id(node)] = i
         todo += zip(node[1], page.children[i])
-    out, memo = [False] * len(noise), {}
+    memo: dict = {}
+    dropped_at, inside_at, constant_at = [False] * len(noise), [False] * len(noise), [False] * len(noise)
     known: list[frozenset[int]] = [frozenset()] * len(noise)  # lines of a node that all pages have
     todo = [(tree, wrapper, False, False)]
     while todo:
         node, other, dropped, inside = todo.pop()
         i = index[id(node)]
-        inside = inside or node[0] in MAIN
-        dropped = dropped or noise[i]
+        inside_at[i] = inside = inside or node[0] in MAIN
+        dropped_at[i] = dropped = dropped or noise[i]
         seen = other is not None and len(other[2]) >= MIN_PAGES
-        constant = seen and other[3] is not None
-        out[i] = dropped or (not inside and (constant or has_main))
-        if seen and not inside:
+        constant_at[i] = seen and other[3] is not None
+        if seen:
             known[i] = frozenset(other[4])
         pairs = dict(aligned(node, other, memo)) if other is not None else {}
         todo += [(c, other[1][pairs[k]] if k in pairs else None, dropped, inside) for k, c in enumerate(node[1])]
     marks = page.line_marks()
-    return [out[page.fold[e]] or (not page.in_row[e] and marks[block] in known[page.fold[e]]) for e, block, _ in page.texts]
+    # texts: under a dropped node, inside a marked article, constant on the host's pages
+    rows = []
+    for e, block, _ in page.texts:
+        i = page.fold[e]
+        rows.append((dropped_at[i], inside_at[i], constant_at[i] or (not page.in_row[e] and marks[block] in known[i])))
+    # a marked article is the page's text if it holds most of what varies (of all text, if nothing does)
+    share = [[0, 0], [0, 0]]
+    for (dropped, inside, constant), (_, _, text) in zip(rows, page.texts):
+        if not dropped:
+            share[constant][inside] += len("".join(text.split()))
+    outside, within = share[0] if any(share[0]) else share[1]
+    has_main = within > outside
+    return [dropped or (not inside and (constant or has_main)) for dropped, inside, constant in rows]
 
 
 def extract(page: Page, template: list[bool]) -> str:

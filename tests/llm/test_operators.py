@@ -264,6 +264,17 @@ def test_html_wrapper_constant_siblings():
     assert texts_of([divs.format(i) for i in range(2)])[1] == "site words\ntext 1\nfooter words"  # two pages show nothing
 
 
+def test_html_wrapper_keeps_articles():
+    text = "the long text of page {0} with all its words"
+    classes = f"<body class='has-sidebar'><main class='page menu'><article class='post comments-open'><h1 class='article-header'>Head {{0}}</h1><div class='content with-sidebar'><p>{text}</div></article></main><div class='comments'>c {{0}}</div></body>"
+    teaser = f"<body><div id=content><p>{text}</p></div><aside><article>teaser {{0}}</article></aside></body>"
+    card = f"<body><div id=content><p>{text}</p></div><article>card {{0}}</article></body>"
+    for n in (1, 4):
+        assert texts_of([classes.format(i) for i in range(n)]) == [f"Head {i}\n" + text.format(i) for i in range(n)]
+        assert texts_of([teaser.format(i) for i in range(n)]) == [text.format(i) for i in range(n)]
+        assert texts_of([card.format(i) for i in range(n)]) == [text.format(i) + f"\ncard {i}" for i in range(n)]
+
+
 def test_quality_classifier(spark, docs, none):
     rng = random.Random(4)
     rows = []
