@@ -14,10 +14,13 @@ The benchmark's windows are the small side; they go to the tasks in slices of
 at most ``SLICE`` windows, each a hash table of bounded size, and a larger
 benchmark takes several passes over the documents.
 
+A window of fewer than ``LEAST_LITERALS`` literal tokens is no template.  Items
+with tokens outside all template windows are looked up by their plain tokens too
+(windows of ``WINDOW``, values and all, under the same run and share).  Each
+character of a script without spaces is a token.
+
 Defined cases: null or empty text matches nothing; an item of fewer than
-``WINDOW`` template tokens is looked up whole, one of fewer than
-``LEAST_LITERALS`` literal tokens never (a window needs as many to say
-anything); equal items are reported each; repeated rows are reported as rows;
+``WINDOW`` tokens is looked up whole; equal items are reported each; repeated rows are reported as rows;
 empty tables give an empty result; null ids stay null; other columns are
 ignored.
 """
@@ -52,6 +55,16 @@ _TOKEN[48:58] = _TOKEN[65:91] = _TOKEN[97:123] = True
 _TOKEN[128:] = True
 
 
+def _characters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the characters of scripts without spaces (UTF-8): Thai, Lao, Myanmar, Khmer, kana and Han."""
+    a, b = buf, np.append(buf[1:], np.uint8(0))
+    three = ((a >= 0xE3) & (a <= 0xE9)) | ((a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)) | ((a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b >= 0x9E) & (b <= 0x9F)))
+    three |= (a == 0xEF) & ((b >= 0xA4) & (b <= 0xAB) | (b >= 0xBC) & (b <= 0xBD))
+    four = (a == 0xF0) & (b >= 0xA0) & (b <= 0xAF)
+    start = np.flatnonzero(three | four)
+    return start, np.minimum(start + 3 + four[start], len(buf))
+
+
 def _unit_hashes() -> np.ndarray:
     off = np.cumsum([0] + [len(u) for u in UNITS])
     return np.unique(_run_hashes(np.frombuffer("".join(UNITS).encode(), np.uint8), off[:-1], off[1:]))
@@ -65,6 +78,8 @@ _STOP[[0x21, 0x2E, 0x3F, 0x0A, 0x3A, 0x22]] = True  # a sentence may begin behin
 class Template:
     """Template tokens of a run of documents: kind, name, value, document."""
 
+    least = LEAST_LITERALS
+
     def __init__(self, buf: np.ndarray, offsets: np.ndarray):
         n = len(buf)
         low = _LOWER[buf]
@@ -74,6 +89,8 @@ class Template:
         inside = np.append(_TOKEN[buf], False)
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
+        for at in _characters(buf):
+            edge[at] = True
         first = inside.copy()
         first[1:] &= ~inside[:-1] | edge[1:]
         start = np.flatnonzero(first)
@@ -98,6 +115,7 @@ class Template:
         kind[np.isin(hashes, _UNIT_HASHES)] = UNIT
         kind[(buf[start] >= 48) & (buf[start] <= 57)] = NUMBER
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+        self.raw = (hashes, doc, bounds)
         # a unit needs its number in front
         unit = np.flatnonzero(kind == UNIT)
         alone = (unit == 0) | (kind[unit - 1] != NUMBER) | (doc[unit - 1] != doc[unit])
@@ -112,6 +130,13 @@ class Template:
         self.name = np.where(self.kind == LITERAL, self.value, mix(self.kind.astype(np.uint64) * M3))
         self.bounds = np.searchsorted(self.doc, np.arange(len(offsets)))
 
+    def exact(self) -> Template:
+        """The same documents without placeholders: every token is a literal, every window says enough."""
+        out = object.__new__(Template)
+        out.name, out.doc, out.bounds = self.raw
+        out.value, out.kind, out.least = out.name, np.zeros(len(out.name), np.int8), 0
+        return out
+
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Start and hash of each window that lies in one document and has
         enough literal tokens."""
@@ -122,30 +147,44 @@ class Template:
         for k in range(width):
             h = h * M2 + self.name[k:k + n]
         literal = np.append(0, np.cumsum(self.kind == LITERAL))
-        ok = (self.doc[:n] == self.doc[width - 1:]) & (literal[width:] - literal[:n] >= LEAST_LITERALS)
+        ok = (self.doc[:n] == self.doc[width - 1:]) & (literal[width:] - literal[:n] >= self.least)
         at = np.flatnonzero(ok)
         return at, mix(h[at])
 
 
 class Index:
-    """Windows of benchmark items: hash -> (item, place)."""
+    """Windows of benchmark items: hash -> (item, place); ``below``: items with
+    tokens in no window that has enough literals."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
-        raw = [(t or "").encode("utf-8", "replace") for _, t in items]
-        self.ids = [i for i, _ in items]
-        off = np.cumsum([0] + [len(x) for x in raw])
-        self.template = t = Template(np.frombuffer(b"".join(raw), np.uint8), off)
+    def __init__(self, template: Template, only: np.ndarray | None = None):
+        self.template = t = template
         size = np.diff(t.bounds)
-        self.widths = sorted({int(w) for w in np.unique(np.minimum(size, WINDOW)) if w >= LEAST_LITERALS})
         self.tables = {}
-        for w in self.widths:
+        covered = np.zeros(len(t.name) + 1, np.int64)
+        for w in sorted({int(w) for w in np.unique(np.minimum(size if only is None else size[only], WINDOW)) if w >= max(1, t.least)}):
             at, h = t.windows(w)
             own = (size[t.doc[at]] == w) if w < WINDOW else np.ones(len(at), bool)
+            if only is not None:
+                own &= only[t.doc[at]]
+            np.add.at(covered, at[own], 1)
+            np.add.at(covered, at[own] + w, -1)
             order = np.argsort(h[own], kind="stable")
             names, first = np.unique(h[own][order], return_index=True)
             bits = np.zeros(1 << 20, bool)
             bits[(names >> np.uint64(44)).astype(np.int64)] = True
             self.tables[w] = (names, np.append(first, own.sum()), at[own][order], bits)
+        self.below = np.bincount(t.doc[np.cumsum(covered)[:-1] == 0], minlength=len(size)) > 0
+
+
+class Benchmark:
+    """Items by their templates, and those below the floor by their plain tokens too."""
+
+    def __init__(self, items: list[tuple[int | None, str | None]]):
+        raw = [(t or "").encode("utf-8", "replace") for _, t in items]
+        self.ids = [i for i, _ in items]
+        template = Template(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(x) for x in raw]))
+        self.template = Index(template)
+        self.exact = Index(template.exact(), self.template.below)
 
 
 class Alignment(NamedTuple):
@@ -212,43 +251,60 @@ def _best_chain(parts: list[Alignment], n: int) -> Alignment | None:
                 best = part.joined(chains[j]) or best
         chains.append(best)
     # a chain may be less than one of its ends: compare the diagonals too
-    return max(chains + parts, key=lambda x: (x.longest >= RUN or x.covered.bit_count() >= SHARE * n, x.covered.bit_count(), x.longest), default=None)
+    return max(chains + parts, key=lambda x: (_is_leak(x, n), x.covered.bit_count(), x.longest), default=None)
+
 
+def _is_leak(x: Alignment, n: int) -> bool:
+    return x.longest >= RUN or x.covered.bit_count() / n >= SHARE
 
-def _matches(it: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
+
+def _best(t: Template, index: Index) -> dict[tuple[int, int], tuple[Alignment, int]]:
+    """For each document and item that meet: the alignment that counts, and the item's tokens."""
     b_t = index.template
+    found: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+    for w, (known, first, places, bits) in index.tables.items():
+        at, h = t.windows(w)
+        hit = np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)])
+        at, h = at[hit], h[hit]
+        k = np.searchsorted(known, h)
+        hit = np.flatnonzero((k < len(known)) & (known[np.minimum(k, max(0, len(known) - 1))] == h)) if len(known) else np.zeros(0, int)
+        for p, j in zip(at[hit].tolist(), k[hit].tolist()):
+            doc = int(t.doc[p])
+            for q in places[first[j]:first[j + 1]].tolist():
+                item = int(b_t.doc[q])
+                found[doc, item][(p - int(t.bounds[doc])) - (q - int(b_t.bounds[item]))].append((p, w))
+    out = {}
+    for (doc, item), diagonals in found.items():
+        parts = [_alignment(t, b_t, int(t.bounds[doc]), int(b_t.bounds[item]), d, hits) for d, hits in diagonals.items()]
+        n = int(b_t.bounds[item + 1] - b_t.bounds[item])
+        best = _together(parts) or _best_chain(parts, n)
+        if best is not None:
+            out[doc, item] = best, n
+    return out
+
+
+def _matches(it: Iterator[pa.RecordBatch], index: Benchmark) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "item_id", "n_windows", "longest_run", "share", "n_slots", "n_changed", "consistent"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
     for b in batches(it, "data", 1 << 21):
         t = Template(*buffers(b.column("data")))
-        found: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-        for w, (known, first, places, bits) in index.tables.items():
-            at, h = t.windows(w)
-            hit = np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)])
-            at, h = at[hit], h[hit]
-            k = np.searchsorted(known, h)
-            hit = np.flatnonzero((k < len(known)) & (known[np.minimum(k, max(0, len(known) - 1))] == h)) if len(known) else np.zeros(0, int)
-            for p, j in zip(at[hit].tolist(), k[hit].tolist()):
-                doc = int(t.doc[p])
-                for q in places[first[j]:first[j + 1]].tolist():
-                    item = int(b_t.doc[q])
-                    found[doc, item][(p - int(t.bounds[doc])) - (q - int(b_t.bounds[item]))].append((p, w))
+        found = _best(t, index.template)
+        if index.exact.tables:
+            for pair, x in _best(t.exact(), index.exact).items():
+                if pair not in found or not _is_leak(*found[pair]):
+                    found[pair] = x
         rows, ids = [], b.column("doc_id").to_pylist()
-        for (doc, item), diagonals in sorted(found.items()):
-            parts = [_alignment(t, b_t, int(t.bounds[doc]), int(b_t.bounds[item]), d, hits) for d, hits in diagonals.items()]
-            n = int(b_t.bounds[item + 1] - b_t.bounds[item])
-            best = _together(parts) or _best_chain(parts, n)
-            if best is not None:
-                changed = sum(v != x for (_, x), v in best.pairs.items())
-                rows.append((ids[doc], index.ids[item], best.n_windows, best.longest, best.covered.bit_count() / n, len(best.pairs), changed, True))
+        for (doc, item), (x, n) in sorted(found.items(), key=lambda f: f[0]):
+            changed = sum(v != y for (_, y), v in x.pairs.items())
+            rows.append((ids[doc], index.ids[item], x.n_windows, x.longest, x.covered.bit_count() / n, len(x.pairs), changed, True))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item in it: doc_id, item_id,
-    n_windows, longest_run (template tokens), share (of the item's template
-    tokens), n_slots, n_changed (slots with another value), consistent; all
+    n_windows, longest_run (template tokens), share (of the item's
+    tokens; both of plain tokens, and no slots, where only those show it), n_slots, n_changed (slots with another value), consistent; all
     of the item's matches if they are consistent, else of its best alignment.  A
     leak has consistent slots and a run of ``RUN`` tokens or ``SHARE`` of the
     item."""
@@ -260,7 +316,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     out = None
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        index = docs.sparkSession.sparkContext.broadcast(Index([tuple(r) for r in part.collect()]))  # a slice of bounded size
+        index = docs.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in part.collect()]))  # a slice of bounded size
         found = src.mapInArrow(lambda it, index=index: _matches(it, index.value), schema)
         out = found if out is None else out.union(found)
     return out.where(F.col("consistent") & ((F.col("longest_run") >= RUN) | (F.col("share") >= SHARE)))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from contrail.llm.quality_classifier import fit, held_out, quality_scores
 from contrail.llm.quality_rules import POLICIES, ablations, apply_policy, ledger, mask_of, measure
 from contrail.llm.substring_dedup import substring_dedup
 from contrail.llm.suffix_dedup import suffix_dedup
-from contrail.llm.template_decontam import find_leaks
+from contrail.llm.template_decontam import Benchmark, _matches, find_leaks
 from contrail.llm.token_counts import token_counts, vocabulary
 from tests.llm import brute
 
@@ -224,6 +225,16 @@ def test_decontamination_judges_each_alignment(spark):
     assert got >= {(1, 1), (2, 1), (3, 2), (4, 1), (5, 1)} and not got & {(3, 1), (6, 2)}
 
 
+def test_decontamination_below_the_floor_of_literals():
+    items = ["Compute 12 + 7 * 3 - 4", "Ask Anna Berta Carla Dora Emil Frida and Gustav", "Why so blue?", "水在多少度时会沸腾呢", "น้ำเดือดที่กี่องศา", "", None, "Sum 1 2 a 3 4 b 5 6 c 7 8 d 9 10 e 11 12 f"]
+    docs = ["he said: compute 12 + 7 * 3 - 4 = 29, 5 times", "please ask Anna Berta Carla Dora Emil Frida and Gustav, Hanna too", "and why so blue? he asked", "请问水在多少度时会沸腾呢谢谢", "ถามน้ำเดือดที่กี่องศาครับ",
+            "sum 1 2 a 3 4 b 5 6 c 7 8 d 9 10 e 11 12 f 13", "compute 12 + 8 * 3 - 4", "why so very blue 水会沸腾", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(docs)), pa.int64()), pa.array([x.encode() for x in docs], pa.binary())], names=["doc_id", "data"])
+    rows = [r for b in _matches(iter([batch]), Benchmark(list(enumerate(items)))) for r in b.to_pylist()]
+    got = {(r["doc_id"], r["item_id"]) for r in rows if r["consistent"] and (r["longest_run"] >= 13 or r["share"] >= 0.5)}
+    assert got == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 7)}
+
+
 def test_license_scan(spark, none):
     mit = KNOWN["MIT"]
     rows = [(1, "Copyright (c) 2020 Somebody\n\n" + mit.upper().replace(" ", "  "), 0), (2, "text\nreleased under the MIT Licence!\nmore", 0), (3, None, 0), (4, "Copyright 1999 x", 0), (5, mit + " more", 0), (None, mit, 0), (1, mit, 0)]
