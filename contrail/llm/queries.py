@@ -19,6 +19,7 @@ from contrail.llm.substring_dedup import substring_dedup
 from contrail.llm.suffix_dedup import suffix_dedup
 from contrail.llm.template_decontam import find_leaks
 from contrail.llm.token_counts import token_counts
+from contrail.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,8 +70,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, model)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), 8).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_packing, op3_quality_rules, op4_template_decontam, op5_license_scan, op6_token_counts,
-                            op7_html_wrapper, op8_substring_dedup, op9_minhash_hamming, op10_quality_classifier)}
+                            op7_html_wrapper, op8_substring_dedup, op9_minhash_hamming, op10_quality_classifier, op11_whitening)}
 
 ORACLE: dict[str, str] = {"op3_quality_rules": oracles.QUALITY_RULES, "op5_license_scan": oracles.license_scan_sql()}
