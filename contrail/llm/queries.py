@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import oracles
+from contrail.llm.conversation_repair import damage, digests, repair
 from contrail.llm.html_wrapper import main_text
 from contrail.llm.license_scan import license_scan
 from contrail.llm.minhash_hamming import near_duplicates
@@ -74,8 +75,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"), 8).withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(repair(damage(_table(spark, sf_dir, "conversations")), copies="copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_packing, op3_quality_rules, op4_template_decontam, op5_license_scan, op6_token_counts,
-                            op7_html_wrapper, op8_substring_dedup, op9_minhash_hamming, op10_quality_classifier, op11_whitening)}
+                            op7_html_wrapper, op8_substring_dedup, op9_minhash_hamming, op10_quality_classifier, op11_whitening, op12_conversation_repair)}
 
 ORACLE: dict[str, str] = {"op3_quality_rules": oracles.QUALITY_RULES, "op5_license_scan": oracles.license_scan_sql()}
