@@ -59,4 +59,4 @@ def test_queries_match_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = [n for n in E.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
