@@ -1,24 +1,22 @@
 """Retention: move old rows from the hot store to the cold store (R1-R3,
 K7, K8, U1).
 
-Order of work, each step safe to repeat after a failure:
-
-1. R1 size trigger: hot-store bytes (sum of file sizes) > threshold.
+1. R1 size trigger: bytes of the live hot folders > threshold.
 2. R2 cutoff: ``timestamp < as_of - keep`` (a parameter, never ``now()``
    inside a query).
-3. archive: the old rows not yet in the cold store (``left_anti`` on
-   (event_date, flight_id)) are appended under ``archive_id=<id>``, counted
-   by ``observe`` while written;
-4. verify: every old row of the files read must now be in cold;
-5. record: one ``archive_metadata`` row per run;
-6. purge (K8), by a redo log: the rows of those files that stay are written to
-   a staging folder, the files to delete are listed beside them, and a marker
-   commits both.  ``redo`` then deletes the listed files and moves the rows
-   that stay into the store.  It can be repeated from any point; ``archive`` and
-   ``history`` call it first.  Files that were written after the store was
-   listed are in no list and stay.
-
-One listing of the hot store (one DataFrame) serves all steps of a run.
+3. archive: the old rows of the live folders up to the cutoff's day are written to a
+   new folder of the cold store; of the cutoff's own day, the rows that stay
+   are written to a new hot folder;
+4. verify: every row of the folders read is in one of the two, by count and by id;
+5. commit: the manifest adds both and ends the folders read, in one step.  This
+   is the purge (K8): from then on no reader finds the old folders;
+6. record: one ``archive_metadata`` row, from what the commit says.
+
+A run that stops before the commit leaves folders that nobody reads, one that stops
+behind it leaves the record to the next run.  Of two runs over the same folders
+one commits and the other ends with nothing archived.  Nothing is
+deleted here: ``vacuum`` does that, hours later, when no reader can still hold the
+old list.  ``history`` only reads.
 """
 
 from __future__ import annotations
@@ -27,30 +25,24 @@ import datetime as dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.streaming.ingest import Stores, _exists
-
+from contrail.sources import manifest
+from contrail.sources.manifest import Snapshot
+from contrail.streaming.ingest import Stores, write_part
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+_RUN = "archive"
 
 
-def store_size_mb(spark: SparkSession, path: str) -> float:
-    """Bytes of the Parquet files of a table, in MB (each file once)."""
-    if not _exists(spark, path):
-        return 0.0
-    return float(spark.read.parquet(path)
-                 .select("_metadata.file_path", "_metadata.file_size").distinct()
-                 .agg(F.coalesce(F.sum("file_size"), F.lit(0)) / F.lit(1024.0 * 1024.0)).first()[0])
+def store_size_mb(snap: Snapshot, store: str) -> float:
+    """Bytes of the live folders of a store, in MB; no folder is listed."""
+    return sum(e.bytes for e in snap.of(store)) / (1024.0 * 1024.0)
 
 
 def should_archive(spark: SparkSession, stores: Stores, threshold_mb: float = 300.0) -> bool:
     """Strictly greater than the threshold."""
-    return store_size_mb(spark, stores.hot) > threshold_mb
+    return store_size_mb(manifest.snapshot(spark, stores.root), "hot") > threshold_mb
 
 
 def cutoff_of(as_of, keep_days: int = 7) -> dt.datetime:
@@ -71,23 +63,17 @@ def old_rows(hot: DataFrame, cutoff: dt.datetime) -> DataFrame:
                      & (F.col("timestamp") < _ntz(cutoff)))
 
 
-def history(spark: SparkSession, stores: Stores, lo=None, hi=None) -> DataFrame:
-    """Hot and cold as one table (by column name), optionally limited
-    to [lo, hi] with partition pruning on ``event_date``.  The cutoff of the
-    last verified archive is the boundary: cold before it, hot from it on, so
-    a row that is in both for a while counts once."""
-    redo(spark, stores)
-    parts, cutoff = [], _recorded_cutoff(spark, stores)
-    has_cold = cutoff is not None and _exists(spark, stores.cold_archive)
-    cold = spark.read.parquet(stores.cold_archive).where(F.col("timestamp") < _ntz(cutoff)) if has_cold else None
-    if _exists(spark, stores.hot):
-        hot = spark.read.parquet(stores.hot)
-        if has_cold:  # behind the cutoff hot holds late rows, and what a purge has not removed yet
-            late = old_rows(hot, cutoff).join(cold.select("event_date", "flight_id"), ["event_date", "flight_id"], "left_anti")
-            hot = hot.where(F.col("timestamp").isNull() | (F.col("timestamp") >= _ntz(cutoff))).unionByName(late)
-        parts.append(hot.withColumn("store", F.lit("hot")))
-    if has_cold:
-        parts.append(cold.withColumn("store", F.lit("cold")))
+def history(spark: SparkSession, stores: Stores, lo=None, hi=None, snap: Snapshot | None = None) -> DataFrame:
+    """Hot and cold as one table (by column name), optionally limited to
+    [lo, hi]; only folders of those days are read.  A row is live in one of
+    them, whatever an archive run is doing meanwhile."""
+    snap = snap or manifest.snapshot(spark, stores.root)
+    first, last = (None if t is None else str(t)[:10] for t in (lo, hi))
+    parts = []
+    for store, name in (("hot", "hot"), ("cold_archive", "cold")):
+        df = manifest.read(spark, stores.root, snap, store, snap.of(store, lo=first, hi=last))
+        if df is not None:
+            parts.append(df.withColumn("store", F.lit(name)))
     if not parts:
         raise FileNotFoundError("no hot or cold store yet")
     df = parts[0]
@@ -102,108 +88,81 @@ def history(spark: SparkSession, stores: Stores, lo=None, hi=None) -> DataFrame:
 
 def archive(spark: SparkSession, stores: Stores, as_of, *, keep_days: int = 7,
             threshold_mb: float | None = None, archive_id: str | None = None) -> dict:
-    """Archive -> verify -> record -> purge.  Returns the metadata."""
-    redo(spark, stores)
-    hot_path, cold_path = stores.hot, stores.cold_archive
-    size_before = store_size_mb(spark, hot_path)
+    """Archive -> verify -> commit -> record.  Returns the metadata."""
+    root = stores.root
+    snap = manifest.snapshot(spark, root)
+    if _RUN in snap.runs:
+        record_archive(spark, stores, snap.runs[_RUN])  # in case the last run stopped before it
+    size_before = store_size_mb(snap, "hot")
     if threshold_mb is not None and not size_before > threshold_mb:
         return {"archived": False, "reason": "below threshold", "hot_size_mb": size_before}
     cutoff = cutoff_of(as_of, keep_days)
+    boundary = cutoff.date().isoformat()
     archive_id = archive_id or f"archive_{cutoff:%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
-    hot = spark.read.parquet(hot_path)
-    snapshot = old_rows(hot, cutoff)
-    snap_count = snapshot.count()
-    todo = snapshot
-    if _exists(spark, cold_path):
-        cold_keys = old_rows(spark.read.parquet(cold_path), cutoff).select("event_date", "flight_id")
-        todo = snapshot.join(cold_keys, ["event_date", "flight_id"], "left_anti")
-    obs = Observation(archive_id)
-    (todo.observe(obs, F.count(F.lit(1)).alias("rows")).withColumn("archive_id", F.lit(archive_id))
-     .write.mode("append").partitionBy("archive_id", "event_date").parquet(cold_path))
-    written = int(obs.get.get("rows", 0))
-    missing = snapshot.select("event_date", "flight_id").join(
-        old_rows(spark.read.parquet(cold_path), cutoff).select("event_date", "flight_id"),
-        ["event_date", "flight_id"], "left_anti").count() if _exists(spark, cold_path) else snap_count
-    verified = missing == 0
+    folders = snap.of("hot", hi=boundary)
+    hot = manifest.read(spark, root, snap, "hot", folders)
+    if hot is None:
+        raise FileNotFoundError("no hot store yet")
+    total = {(str(r["event_date"]), r["old"]): r["n"] for r in hot.groupBy("event_date", (F.col("timestamp") < _ntz(cutoff)).alias("old")).agg(F.count("*").alias("n")).collect()}
+    old_by_day = {d: n for (d, old), n in total.items() if old}
+    kept_by_day = {d: n for (d, old), n in total.items() if not old}
+    folders = [e for e in folders if e.day in old_by_day]  # a day without old rows stays as it is
+    count = sum(old_by_day.values())
     meta = {
-        "archive_id": archive_id, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-        "source": hot_path, "record_count": written, "snapshot_count": snap_count,
-        "storage_location": cold_path, "hot_size_before_mb": size_before,
-        "schema_definition": json.dumps([{"name": f.name, "type": f.dataType.simpleString()}
-                                         for f in hot.schema.fields]),
-        "threshold_date": cutoff, "verified": verified,
+        "archive_id": archive_id, "timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" "),
+        "source": stores.hot, "record_count": count, "storage_location": stores.cold_archive, "hot_size_before_mb": size_before,
+        "schema_definition": json.dumps([{"name": f.name, "type": f.dataType.simpleString()} for f in hot.schema.fields]),
+        "threshold_date": cutoff.isoformat(sep=" "),
     }
+    if not folders:
+        return meta | {"archived": True, "verified": True}
+    hot = manifest.read(spark, root, snap, "hot", folders)
+    moved = old_rows(hot, cutoff).withColumn("archive_id", F.lit(archive_id))
+    cold = write_part(moved, stores, "cold_archive", archive_id, "event_date", old_by_day)
+    stays = [e for e in folders if e.day in kept_by_day]  # folders of the cutoff's day
+    kept = []
+    if stays:
+        rest = manifest.read(spark, root, snap, "hot", stays).where(F.col("timestamp") >= _ntz(cutoff))
+        kept = write_part(rest, stores, "hot", f"kept-{archive_id}", "event_date", kept_by_day)
+    if not verify(spark, stores, snap, hot, cold + kept, moved.schema.json()):
+        return meta | {"archived": False, "verified": False}
+    try:
+        purge(spark, stores, snap, folders, cold + kept, moved.schema.json(), meta)
+    except manifest.Conflict:
+        return meta | {"archived": False, "verified": True, "reason": "another run was first"}
     record_archive(spark, stores, meta)
-    if verified:
-        purge(spark, stores, hot, cutoff, archive_id)
-    meta["archived"] = verified
-    return meta
+    return meta | {"archived": True, "verified": True}
+
+
+def verify(spark: SparkSession, stores: Stores, snap: Snapshot, hot: DataFrame, written, cold_schema: str) -> bool:
+    """Whether the new folders hold the rows of ``hot``, each as often, by id."""
+    there = Snapshot(snap.version, {e.path: e for e in written}, snap.schemas | {"cold_archive": cold_schema})
+    new = [manifest.read(spark, stores.root, there, s, there.of(s)).select("event_date", "flight_id") for s in ("hot", "cold_archive") if there.of(s)]
+    ids = hot.select("event_date", "flight_id", F.lit(1).alias("d"))
+    for df in new:
+        ids = ids.unionAll(df.select("event_date", "flight_id", F.lit(-1).alias("d")))
+    return ids.groupBy("event_date", "flight_id").agg(F.sum("d").alias("d")).where("d != 0").limit(1).count() == 0
+
+
+def purge(spark: SparkSession, stores: Stores, snap: Snapshot, folders, new, cold_schema: str, meta: dict) -> None:
+    """K8: end the folders that were archived and begin the new ones, in one commit."""
+    manifest.commit(spark, stores.root, snap, add=new, remove=[e.path for e in folders], schemas={"cold_archive": cold_schema}, run=_RUN, info=meta)
 
 
 def record_archive(spark: SparkSession, stores: Stores, meta: dict) -> None:
-    """K7: one archive_metadata row (schema as an array of structs)."""
+    """K7: one archive_metadata row (schema as an array of structs); written
+    again it is the same."""
     row = spark.createDataFrame(
-        [(meta["archive_id"], meta["timestamp"], meta["source"], meta["record_count"],
-          meta["storage_location"], float(meta["hot_size_before_mb"]), meta["schema_definition"],
-          meta["threshold_date"], bool(meta["verified"]))],
-        "archive_id string, timestamp timestamp_ntz, source string, record_count long, storage_location string, "
-        "hot_size_before_mb double, schema_definition string, threshold_date timestamp_ntz, verified boolean")
+        [(meta["archive_id"], meta["timestamp"], meta["source"], meta["record_count"], meta["storage_location"],
+          float(meta["hot_size_before_mb"]), meta["schema_definition"], meta["threshold_date"], True)],
+        "archive_id string, timestamp string, source string, record_count long, storage_location string, "
+        "hot_size_before_mb double, schema_definition string, threshold_date string, verified boolean")
+    row = row.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("timestamp", "threshold_date")})
     row = row.withColumn("schema", F.from_json("schema_definition", "array<struct<name:string,type:string>>"))
-    row.write.mode("overwrite").parquet(f"{stores.meta('archive_metadata')}/archive_id={meta['archive_id']}")
-
-
-def _recorded_cutoff(spark: SparkSession, stores: Stores) -> dt.datetime | None:
-    """The latest cutoff of a verified archive run."""
-    if not _exists(spark, stores.meta("archive_metadata")):
-        return None
-    return spark.read.parquet(stores.meta("archive_metadata")).where("verified").agg(F.max("threshold_date")).first()[0]
-
-
-def purge(spark: SparkSession, stores: Stores, hot: DataFrame, cutoff: dt.datetime, archive_id: str) -> None:
-    """K8: remove the rows before the cutoff from the files of ``hot`` (the
-    listing that was archived and verified)."""
-    root = f"{stores.path('_purge')}/{archive_id}"
-    fs, _, jvm = _fs(spark, root)
-    path = jvm.org.apache.hadoop.fs.Path
-    files = old_rows(hot, cutoff).select(F.col("_metadata.file_path").alias("file"), "event_date").distinct()
-    files.write.mode("overwrite").parquet(f"{root}/files")
-    listed = spark.read.parquet(f"{root}/files")
-    day = F.lit(cutoff.date().isoformat()).cast("date")
-    keep = (hot.where((F.col("event_date") == day) & (F.col("timestamp") >= _ntz(cutoff))).withColumn("_file", F.col("_metadata.file_path"))
-            .join(listed.select(F.col("file").alias("_file")), "_file", "left_semi").drop("_file", "batch_key"))
-    keep.withColumn("batch_key", F.lit(f"kept-{archive_id}")).repartition("event_date").write.mode("overwrite") \
-        .partitionBy("event_date", "batch_key").parquet(f"{root}/rows")
-    fs.create(path(f"{root}/COMMITTED")).close()
-    redo(spark, stores)
-
-
-def redo(spark: SparkSession, stores: Stores) -> None:
-    """Finish committed purges and drop those that were not committed.  Every
-    step may have been done before."""
-    base = stores.path("_purge")
-    fs, p, jvm = _fs(spark, base)
-    path = jvm.org.apache.hadoop.fs.Path
-    if not fs.exists(p):
-        return
-    for entry in fs.listStatus(p):
-        root = entry.getPath().toString()
-        if fs.exists(path(f"{root}/COMMITTED")):
-            parents = set()
-            for r in spark.read.parquet(f"{root}/files").toLocalIterator():  # names of files, one after the other
-                f = path(r["file"])
-                fs.delete(f, False)
-                parents.add(f.getParent().toString())
-            for q in parents:  # a batch's folder of a day, and the day, where nothing is left in them
-                for folder in (path(q), path(q).getParent()):
-                    if fs.exists(folder) and not any(not x.getPath().getName().startswith(("_", ".")) for x in fs.listStatus(folder)):
-                        fs.delete(folder, True)
-            if fs.exists(path(f"{root}/rows")):
-                for day in fs.listStatus(path(f"{root}/rows")):
-                    name = day.getPath().getName()
-                    if name.startswith("event_date="):
-                        for batch in fs.listStatus(day.getPath()):
-                            target = path(f"{stores.hot}/{name}/{batch.getPath().getName()}")
-                            if not fs.exists(target):
-                                fs.mkdirs(target.getParent())
-                                fs.rename(batch.getPath(), target)
-        fs.delete(path(root), True)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{stores.meta('archive_metadata')}/archive_id={meta['archive_id']}")
+
+
+def vacuum(spark: SparkSession, stores: Stores, grace_seconds: float = 3600.0) -> int:
+    """Delete folders that have not been live for ``grace_seconds`` (longer than
+    any reader runs)."""
+    return manifest.vacuum(spark, stores.root, stores.names, grace_seconds)

@@ -165,13 +165,12 @@ def stream_ingest_multibatch(spark, sf):
     stream = own.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/_messages")
     ingest.run_ingest(own, stream, stores, processing_time=PROCESSING_TIME, dedup_watermark="1 hour")
 
-    def counts(name, path):
-        return spark.read.parquet(path).agg(
+    def counts(name, store):
+        return ingest.read_store(spark, stores, store).agg(
             F.count(F.lit(1)).alias("flights"), F.count_distinct("flight_id").alias("ids"),
             F.sum("dep_delay").alias("sum_delay")).select(F.lit(name).alias("store"), "*")
 
-    return (counts("hot", stores.hot).union(counts("staging", stores.warehouse("staging_flight_events")))
-            .union(counts("cold", stores.cold)))
+    return counts("hot", "hot").union(counts("staging", "warehouse/staging_flight_events")).union(counts("cold", "cold"))
 
 
 @register("stream_tumbling", with_hot(f"""

@@ -1,8 +1,9 @@
 """Stream sources.
 
 ``open_stream`` returns a streaming DataFrame with one text column
-``value`` (plus the broker/arrival ``kafka_timestamp`` when the source has
-one).  Kafka is a configuration of the same function; the Kafka connector
+``value``, ``kafka_timestamp`` (the broker's time, or when a file was last
+changed) and ``source_position`` (topic, partition and offset, or the file).
+Both are the same whenever the source is read again.  Kafka is a configuration of the same function; the Kafka connector
 jar is not bundled, so locally the file sources are used.
 """
 
@@ -12,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.functions.columns import coerce_int, parse_event_time
+from contrail.functions.columns import parse_event_time
 from contrail.schema import RAW_EVENT
 
 
 def open_stream(spark: SparkSession, fmt: str = "kafka", *, path: str | None = None,
                 topic: str | None = None, servers: str | None = None,
-                max_per_trigger: int | None = 1000, schema: T.StructType | None = None,
+                max_per_trigger: int | None = None, schema: T.StructType | None = None,
                 options: dict[str, str] | None = None) -> DataFrame:
     """Open the event stream.
 
@@ -28,6 +29,8 @@ def open_stream(spark: SparkSession, fmt: str = "kafka", *, path: str | None = N
     * ``text`` / ``json``: one JSON document per line under ``path``,
       ``maxFilesPerTrigger = max_per_trigger``.
     * ``parquet``: a table of events under ``path`` (``schema`` required).
+
+    Without ``max_per_trigger`` a trigger takes all there is.
     """
     opts = dict(options or {})
     r = spark.readStream
@@ -42,17 +45,22 @@ def open_stream(spark: SparkSession, fmt: str = "kafka", *, path: str | None = N
         r = r.option("minPartitions", str(spark.sparkContext.defaultParallelism))
         df = r.options(**opts).load()
         return df.select(F.col("value").cast("string").alias("value"),
-                         F.col("timestamp").alias("kafka_timestamp"))
+                         F.col("timestamp").alias("kafka_timestamp"),
+                         F.concat_ws(":", "topic", "partition", "offset").alias("source_position"))
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_per_trigger))
     if fmt in ("text", "json"):
         df = r.options(**opts).text(path)
-        return df.select("value", F.current_timestamp().alias("kafka_timestamp"))
+        return df.select("value", F.col("_metadata.file_modification_time").alias("kafka_timestamp"),
+                         F.col("_metadata.file_path").alias("source_position"))
     if fmt == "parquet":
         return r.schema(schema).options(**opts).parquet(path)
     raise ValueError(f"unknown stream format {fmt!r}")
 
 
+#: What a message that gets no id leaves behind.
+LETTER_COLUMNS = ("_raw", "_error", "_position")
+
 _DECODE_SCHEMA = T.StructType(RAW_EVENT.fields + [T.StructField("_corrupt_record", T.StringType())])
 
 
@@ -60,15 +68,21 @@ def decode_events(df: DataFrame, value: str = "value", fallback_time=None) -> Da
     """S2 + P1: JSON text -> typed flight events (lower-case names).
 
     PERMISSIVE parsing: a malformed document yields NULL fields and keeps
-    its text in ``_corrupt_record``.  ``NaN`` literals are accepted.
+    its text in ``_corrupt_record``.  ``NaN`` literals are accepted.  A message
+    that can get no id keeps its text (``_raw``), the kind of fault (``_error``:
+    empty, malformed, bad_time, missing_field) and its ``source_position`` (``_position``).
     Month, DayOfWeek and CRS_DEP_TIME are read as DOUBLE and cast, so
     ``5.0`` is not lost."""
     data = F.from_json(F.col(value), _DECODE_SCHEMA,
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record",
                         "allowNonNumericNumbers": "true"})
-    keep = [c for c in df.columns if c != value]
-    p = df.select(data.alias("d"), *keep)
+    keep = [c for c in df.columns if c not in (value, "source_position")]
+    position = F.col("source_position") if "source_position" in df.columns else F.lit(None).cast("string")
+    p = df.select(data.alias("d"), F.col(value).alias("_raw"), position.alias("_position"), *keep)
     ts = parse_event_time(F.col("d.timestamp"), fallback_time)
+    fields = F.col("d.AIRLINE_CODE").isNull() | F.col("d.ORIGIN").isNull() | F.col("d.DEST").isNull()
+    fault = (F.when(F.coalesce(F.trim("_raw"), F.lit("")) == "", "empty").when(F.col("d._corrupt_record").isNotNull() & (fields | ts.isNull()), "malformed")
+             .when(ts.isNull(), "bad_time").when(fields, "missing_field"))
     return p.select(
         F.lit(None).cast("string").alias("flight_id"),
         ts.cast("timestamp_ntz").alias("timestamp"),
@@ -86,6 +100,7 @@ def decode_events(df: DataFrame, value: str = "value", fallback_time=None) -> Da
         F.col("d.Month").try_cast("int").alias("month"),
         F.col("d.DayOfWeek").try_cast("int").alias("day_of_week"),
         F.col("d._corrupt_record").alias("_corrupt_record"),
+        F.when(fault.isNotNull(), F.coalesce("_raw", F.lit(""))).alias("_raw"), fault.alias("_error"), F.when(fault.isNotNull(), F.col("_position")).alias("_position"),
         *keep,
     )
 
@@ -106,7 +121,3 @@ def encode_events(flights: DataFrame) -> DataFrame:
         F.col("crs_dep_time").alias("CRS_DEP_TIME"))
     return flights.select(F.to_json(s, {"ignoreNullFields": "false"}).alias("value"))
 
-
-def coerce_history_ints(df: DataFrame, cols=("crs_dep_time",)) -> DataFrame:
-    """text/number columns -> INT, unparseable -> 0."""
-    return df.withColumns({c: coerce_int(c) for c in cols})
