@@ -53,7 +53,8 @@ def parse_event_time(raw, fallback: Column | None = None) -> Column:
 
 
 def flight_id_expr(ts, airline, origin, dest) -> Column:
-    """Digits of the timestamp's text + ``_airline_origin_dest``.
+    """Digits of the timestamp's text + ``_airline_origin_dest`` (a fixed
+    layout: ids are compared with those of the original).
 
     NULL when any part is NULL (``concat`` semantics), like the reference.
     """

@@ -75,7 +75,7 @@ def enriched_projection(df: DataFrame, *, ingestion_time=None, keep_extra: bool
             "data_quality_score"]
     extra = [c for c in ("crs_dep_time", "month", "day_of_week", "delay_due_weather",
                          "delay_due_carrier", "delay_due_nas", "delay_due_late_aircraft")
-             if keep_extra and c in df.columns]
+             if keep_extra and c in df.columns] + [c for c in ("model_version",) if c in df.columns]
     letters = [c for c in ("_raw", "_error", "_position") if c in df.columns]  # of messages without an id
     return df.select(*base, it.alias("ingestion_timestamp"), "processing_timestamp",
                      "processing_date", *extra, *letters)

@@ -7,6 +7,8 @@ and shuffles a larger one.  Building a plan runs no job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +43,19 @@ def enrich_dims(flights: DataFrame, airports: DataFrame, airlines: DataFrame) ->
             .join(airlines, "airline_code", "left")
             .join(org, "origin", "left")
             .join(dst, "dest", "left"))
+
+
+def enrich_stream(stream: DataFrame, read_dims: Callable, write: Callable, checkpoint: str, available_now: bool = True):
+    """J2 on a stream: ``read_dims(spark, batch_id)`` -> (airports, airlines) is
+    called at each micro-batch, so a dimension that changes while the stream runs
+    holds from the next batch on; ``write(flights, batch_id)`` stores the batch and
+    must bear a repeated batch."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        airports, airlines = read_dims(batch.sparkSession, batch_id)
+        write(enrich_dims(batch, airports, airlines), batch_id)
+
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")).start()
+    if available_now:
+        q.awaitTermination()
+    return q

@@ -58,16 +58,17 @@ def confidence_split(df: DataFrame, threshold: float = 0.7) -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """Exact equal-width histogram between the column's min and max:
-    one-row min/max aggregate, a bucket expression, one grouped count."""
+    """Exact equal-width histogram between the column's min and max.  The
+    rows are read once, into counts per value; bounds and bins are both made
+    from those."""
     x = F.col(col)
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    bounds = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    counts = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    bounds = counts.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / dbl(bins)
     raw = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * dbl(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(raw.cast("int"), F.lit(bins - 1)))
-    return (attach_scalars(vals, bounds).select(b.alias("bucket"), "lo", "hi", width.alias("w"))
-            .groupBy("bucket", "lo", "w").agg(F.count(F.lit(1)).alias("frequency"))
+    return (attach_scalars(counts, bounds).select(b.alias("bucket"), "lo", "hi", width.alias("w"), "n")
+            .groupBy("bucket", "lo", "w").agg(F.sum("n").alias("frequency"))
             .select("bucket", (F.col("lo") + F.col("bucket") * F.col("w")).alias("bin_lo"),
                     (F.col("lo") + (F.col("bucket") + 1) * F.col("w")).alias("bin_hi"), "frequency"))
 
@@ -80,11 +81,20 @@ def ols(df: DataFrame, y: str, x) -> DataFrame:
                  F.regr_r2("y", "x").alias("r2"), F.regr_count("y", "x").alias("n")))
 
 
+#: A fixed instant that co-moments are summed around.
+_ORIGIN = "2000-01-01 00:00:00"
+
+
 def ols_over_time(df: DataFrame, y: str = "dep_delay") -> DataFrame:
-    """A26 + P27: trend of ``y`` against hours elapsed since the first event."""
-    first = df.agg(F.min("timestamp").alias("_t0"))
-    hours = F.timestamp_diff("MICROSECOND", F.col("_t0"), F.col("timestamp")) / dbl(3.6e9)
-    return ols(attach_scalars(df, first), y, hours)
+    """A26 + P27: trend of ``y`` against hours elapsed since the first event, in one
+    pass: the moments are taken around a fixed instant, and the line is moved to
+    the first event afterwards (slope and R^2 do not depend on it)."""
+    origin = F.lit(_ORIGIN).cast("timestamp_ntz")
+    hours = lambda t: F.timestamp_diff("MICROSECOND", origin, t) / dbl(3.6e9)
+    line = (df.select(F.col(y).alias("y"), hours(F.col("timestamp").cast("timestamp_ntz")).alias("x"), F.col("timestamp").cast("timestamp_ntz").alias("t"))
+            .agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("at_origin"), F.regr_r2("y", "x").alias("r2"),
+                 F.regr_count("y", "x").alias("n"), F.min("t").alias("t0")))
+    return line.select("slope", (F.col("at_origin") + F.col("slope") * hours(F.col("t0"))).alias("intercept"), "r2", "n")
 
 
 def latest(df: DataFrame, n: int, cols=None) -> DataFrame:

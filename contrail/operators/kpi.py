@@ -98,21 +98,16 @@ def airport_stats(df: DataFrame, airports: DataFrame) -> DataFrame:
 
 def quick_stats(df: DataFrame, *, approx: bool = False) -> DataFrame:
     """Severe delays (> 60) count and share, distinct airlines, origins
-    and destinations, max and median delay.  ``approx=True`` swaps in
-    HyperLogLog distinct counts and a t-digest-like percentile for very large
-    inputs."""
+    and destinations, max and median delay.  The exact median comes from the
+    range-partitioned counts per value (``quality.field_quantiles``): no task
+    holds the values.  ``approx=True`` swaps in HyperLogLog distinct counts and
+    an approximate percentile; for stored sketches see ``operators.sketches``."""
+    nd = F.approx_count_distinct if approx else F.count_distinct
+    severe = F.count_if(F.col("dep_delay") > 60)
+    out = df.agg(severe.alias("severe_count"), pct(severe, F.count(F.lit(1))).alias("severe_pct"), nd("airline_code").alias("airlines"), nd("origin").alias("origins"),
+                 nd("dest").alias("destinations"), F.max("dep_delay").alias("max_delay"),
+                 *([F.percentile_approx("dep_delay", 0.5, 10000).alias("median_delay")] if approx else []))
     if approx:
-        nd = F.approx_count_distinct
-        med = F.percentile_approx("dep_delay", 0.5, 10000)
-    else:
-        nd = F.count_distinct
-        med = F.median("dep_delay")
-    return df.agg(
-        F.count_if(F.col("dep_delay") > 60).alias("severe_count"),
-        pct(F.count_if(F.col("dep_delay") > 60), F.count(F.lit(1))).alias("severe_pct"),
-        nd("airline_code").alias("airlines"),
-        nd("origin").alias("origins"),
-        nd("dest").alias("destinations"),
-        F.max("dep_delay").alias("max_delay"),
-        med.alias("median_delay"),
-    )
+        return out
+    from contrail.operators.quality import field_quantiles
+    return attach_scalars(out, field_quantiles(df, ["dep_delay"], (0.5,)).agg(F.max("q0").alias("median_delay")))

@@ -1,6 +1,6 @@
 """Delay model on Spark ML.
 
-Pipeline: mode fill (strings) -> ``Imputer(median)`` -> ``StringIndexer``
+Pipeline: median fill (numbers, exact) and mode fill (strings) -> ``StringIndexer``
 (alphabetical codes, unseen/missing kept) -> ``VectorAssembler`` ->
 ``StandardScaler`` -> ``GBTRegressor`` (or ``RandomForestRegressor``).
 Every stage is fitted on the training part only (the reference fits the
@@ -14,7 +14,7 @@ import json
 import os
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,11 +57,17 @@ def modes_of(train: DataFrame, cols) -> dict[str, str | None]:
     return {r["field"]: r["mode"] for r in field_modes(train, cols).collect()}
 
 
-def _inputs(numeric, categorical, modes: dict[str, str | None]) -> SQLTransformer:
-    """The columns that the later stages read: numbers as doubles, strings
-    with the training mode for a missing value.  As a stage it is saved with
-    the model, so training, batch and stream fill alike."""
-    cols = [f"CAST(`{c}` AS DOUBLE) AS `{c}__num`" for c in numeric]
+def medians_of(train: DataFrame, cols) -> dict[str, float]:
+    """M2 (numbers): the exact training median of each column (a row per column)."""
+    return {r["field"]: r["q0"] for r in field_quantiles(train, cols, (0.5,)).collect()}
+
+
+def _inputs(numeric, categorical, modes: dict[str, str | None], medians: dict[str, float]) -> SQLTransformer:
+    """The columns that the later stages read: numbers as doubles with the
+    training median for a missing value (NaN counts as missing), strings with the
+    training mode.  As a stage it is saved with the model, so training, batch and
+    stream fill alike."""
+    cols = [f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), CAST('{medians.get(c, 0.0)!r}' AS DOUBLE)) AS `{c}__imp`" for c in numeric]
     for c in categorical:
         mode = modes.get(c)
         text = "NULL" if mode is None else "'" + mode.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -69,14 +75,13 @@ def _inputs(numeric, categorical, modes: dict[str, str | None]) -> SQLTransforme
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
-def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *, modes=None,
+def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES, *, modes=None, medians=None,
                    model: str = "gbt", max_iter: int = 100, num_trees: int = 50, seed: int = 42) -> Pipeline:
     """M2-M6 as one Spark ML pipeline over the raw columns."""
     imputed = [f"{c}__imp" for c in numeric]
     indexed = [f"{c}__idx" for c in categorical]
     stages = [
-        _inputs(numeric, categorical, modes or {}),
-        Imputer(strategy="median", inputCols=[f"{c}__num" for c in numeric], outputCols=imputed),
+        _inputs(numeric, categorical, modes or {}, medians or {}),
         StringIndexer(inputCols=[f"{c}__fill" for c in categorical], outputCols=indexed,
                       stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=imputed + indexed, outputCol="features_raw", handleInvalid="keep"),
@@ -94,6 +99,21 @@ def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICA
     return Pipeline(stages=stages)
 
 
+def fitted_features(spark: SparkSession, train: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES) -> DataFrame:
+    """M2-M4: what the feature stages learn, one row each: field, fitted (median,
+    mode, code, mean, std), value (text), number."""
+    modes, medians = modes_of(train, categorical), medians_of(train, numeric)
+    stages = build_pipeline("unused", numeric, categorical, modes=modes, medians=medians).getStages()[:-1]
+    fitted = Pipeline(stages=stages).fit(train).stages
+    indexer, scaler = fitted[1], fitted[3]
+    rows = [(c, "median", "", float(medians[c])) for c in numeric]
+    rows += [(c, "mode", modes.get(c), 0.0) for c in categorical]
+    rows += [(c, "code", label, float(i)) for c, labels in zip(categorical, indexer.labelsArray) for i, label in enumerate(labels)]
+    for name, values in (("mean", scaler.mean), ("std", scaler.std)):  # per feature, numbers first
+        rows += [(c, name, "", float(v)) for c, v in zip(numeric, values.toArray())]
+    return spark.createDataFrame(rows, "field string, fitted string, value string, number double")
+
+
 def regression_metrics(pred: DataFrame, target: str, prediction: str = "prediction") -> DataFrame:
     """M7: R^2, MAE, MSE, RMSE as one aggregate (rows with a target and a
     prediction)."""
@@ -113,7 +133,7 @@ def train(df: DataFrame, *, target: str | None = "arr_delay", numeric=NUMERIC_FE
     target = pick_target(df.columns, target)
     numeric = [c for c in numeric if c != target]
     tr, te = split(df.where(F.col(target).isNotNull()), train_pct, seed, key)
-    fitted = build_pipeline(target, numeric, categorical, modes=modes_of(tr, categorical), model=model,
+    fitted = build_pipeline(target, numeric, categorical, modes=modes_of(tr, categorical), medians=medians_of(tr, numeric), model=model,
                             max_iter=max_iter, num_trees=num_trees, seed=seed).fit(tr)
     pred = fitted.transform(te)
     return fitted, pred, regression_metrics(pred, target)

@@ -7,12 +7,13 @@ the single result row into one row per column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.columns import dbl, pct
-from contrail.operators.trend import freshness
 from contrail.session import checkpoint_dir
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
@@ -50,12 +51,14 @@ def dup_stats(df: DataFrame, key: str = "flight_id") -> DataFrame:
 def quality_score(df: DataFrame, as_of, key: str = "flight_id", ts_col: str = "timestamp") -> DataFrame:
     """100 - min(2 * sum(missing %), 50)
     - (age > 24 h ? min((age - 24) / 24 * 10, 30) : 0) - min(duplicate %, 20),
-    floored at 0, with its band (>= 90 excellent, >= 70 good, else poor)."""
-    miss = missing_values(df).agg(F.coalesce(F.sum("missing_pct"), dbl(0)).alias("missing_pct_sum"))
-    fresh = freshness(df, as_of, ts_col).select("age_hours")
-    dup = dup_stats(df, key).select("duplicate_pct")
-    from contrail.operators.enrich import attach_scalars
-    parts = attach_scalars(attach_scalars(miss, fresh), dup)
+    floored at 0, with its band (>= 90 excellent, >= 70 good, else poor).  One
+    aggregate over one scan."""
+    n = F.count(F.lit(1))
+    missing = [pct(F.count_if(_missing(df, c)), n) for c in df.columns]
+    copies = n - F.count_distinct(key) - F.when(F.count_if(F.col(key).isNull()) > 0, 1).otherwise(0)
+    row = df.agg(F.coalesce(reduce(lambda a, b: a + b, missing), dbl(0)).alias("missing_pct_sum"), F.max(ts_col).alias("_latest"), pct(copies, n).alias("duplicate_pct"))
+    end = F.lit(str(as_of)).cast("timestamp_ntz")
+    parts = row.select("missing_pct_sum", (F.timestamp_diff("MICROSECOND", F.col("_latest"), end) / dbl(3.6e9)).alias("age_hours"), "duplicate_pct")
     age = F.col("age_hours")
     score = (dbl(100) - F.least(F.col("missing_pct_sum") * dbl(2), dbl(50))
              - F.when(age > 24, F.least((age - dbl(24)) / dbl(24) * dbl(10), dbl(30))).otherwise(dbl(0))

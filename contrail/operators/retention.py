@@ -159,7 +159,7 @@ def record_archive(spark: SparkSession, stores: Stores, meta: dict) -> None:
         "hot_size_before_mb double, schema_definition string, threshold_date string, verified boolean")
     row = row.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("timestamp", "threshold_date")})
     row = row.withColumn("schema", F.from_json("schema_definition", "array<struct<name:string,type:string>>"))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{stores.meta('archive_metadata')}/archive_id={meta['archive_id']}")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{stores.meta('archive_metadata')}/run={meta['archive_id']}")
 
 
 def vacuum(spark: SparkSession, stores: Stores, grace_seconds: float = 3600.0) -> int:

@@ -139,10 +139,23 @@ RANGE_PRESETS = {"1h": "1 HOUR", "6h": "6 HOURS", "24h": "24 HOURS"}
 def in_range(df: DataFrame, as_of, preset: str = "24h", ts_col: str = "timestamp") -> DataFrame:
     """P25: rows of the last 1 / 6 / 24 hours before ``as_of`` (``all`` =
     since 2020-01-01); a plain timestamp predicate, pushed into the scan."""
-    t = F.col(ts_col)
+    return df.where(F.col(ts_col) >= since(as_of, preset))
+
+
+def since(as_of, preset: str):
+    """The instant a preset begins at."""
     if preset == "all":
-        return df.where(t >= F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"))
-    return df.where(t >= _ts(as_of) - F.expr(f"INTERVAL {RANGE_PRESETS[preset]}"))
+        return F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    return _ts(as_of) - F.expr(f"INTERVAL {RANGE_PRESETS[preset]}")
+
+
+def has_field(df: DataFrame, field: str, *, not_null: bool = False) -> DataFrame:
+    """Rows that have a field.  In a table with a schema each row has it, a
+    missing value included; ``not_null`` keeps only rows with a value (NaN is a
+    value, as in the original)."""
+    if field not in df.columns:
+        return df.where(F.lit(False))
+    return df.where(F.col(field).isNotNull()) if not_null else df
 
 
 def date_parts(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:

@@ -154,3 +154,52 @@ def date_parts_by_day_name(spark, sf):
     from pyspark.sql import functions as F
     return (trend.date_parts(hot_events(spark, sf)).groupBy("day_name", "hour")
             .agg(F.count(F.lit(1)).alias("flights"), F.count_distinct("date").alias("dates")))
+
+
+_SINCE = {"1h": f"{AS_OF} - INTERVAL 1 HOUR", "6h": f"{AS_OF} - INTERVAL 6 HOUR", "24h": f"{AS_OF} - INTERVAL 24 HOUR", "all": "TIMESTAMP '2020-01-01 00:00:00'"}
+
+
+@register("range_presets", with_hot("\n" + "\nUNION ALL ".join(
+    f"""SELECT '{p}' AS preset, count(*) AS flights, round(avg(dep_delay), 6) AS avg_delay, count(DISTINCT airline_code) AS airlines
+FROM hot WHERE "timestamp" >= {since}""" for p, since in _SINCE.items())))
+def range_presets(spark, sf):
+    """P25: all presets in one scan: a row counts for each preset that holds it."""
+    from pyspark.sql import functions as F
+    hot = hot_events(spark, sf)
+    held = [F.when(trend.since(SPARK_AS_OF, p) <= F.col("timestamp"), F.lit(p)) for p in _SINCE]
+    some = hot.withColumn("preset", F.explode(F.array_compact(F.array(*held))))
+    counted = some.groupBy("preset").agg(F.count(F.lit(1)).alias("flights"), F.avg("dep_delay").alias("avg_delay"), F.count_distinct("airline_code").alias("airlines"))
+    every = spark.createDataFrame([(p,) for p in _SINCE], "preset string")  # a preset without rows is listed too
+    return every.join(counted, "preset", "left").select("preset", F.coalesce("flights", F.lit(0)).alias("flights"), "avg_delay", F.coalesce("airlines", F.lit(0)).alias("airlines"))
+
+
+@register("severity_bands", with_hot("""
+SELECT airline_code, CASE WHEN dep_delay IS NULL THEN 'missing' WHEN dep_delay > 60 THEN 'severe' WHEN dep_delay > 15 THEN 'delayed'
+                          WHEN dep_delay < 0 THEN 'early' ELSE 'on_time' END AS band,
+       count(*) AS flights, round(avg(dep_delay), 6) AS avg_delay
+FROM hot GROUP BY 1, 2"""))
+def severity_bands(spark, sf):
+    """Flights and mean delay by severity band and airline."""
+    from pyspark.sql import functions as F
+
+    from contrail.functions.columns import severity_band
+    return (hot_events(spark, sf).groupBy("airline_code", severity_band("dep_delay").alias("band"))
+            .agg(F.count(F.lit(1)).alias("flights"), F.avg("dep_delay").alias("avg_delay")))
+
+
+@register("has_field", with_hot("""
+SELECT 'dep_delay' AS field, count(*) AS having_field, count(dep_delay) AS having_value FROM hot
+UNION ALL SELECT 'distance', count(*), count(distance) FROM hot
+UNION ALL SELECT 'gate', 0, 0"""))
+def has_field(spark, sf):
+    """Rows that have a field, and that have a value in it; no row has a
+    field that the table lacks."""
+    from pyspark.sql import functions as F
+    from contrail.operators.enrich import attach_scalars
+    hot, out = hot_events(spark, sf), None
+    for field in ("dep_delay", "distance", "gate"):
+        both = trend.has_field(hot, field).agg(F.count(F.lit(1)).alias("having_field"))
+        value = trend.has_field(hot, field, not_null=True).agg(F.count(F.lit(1)).alias("having_value"))
+        row = attach_scalars(both, value).select(F.lit(field).alias("field"), "having_field", "having_value")
+        out = row if out is None else out.union(row)
+    return out

@@ -34,4 +34,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from contrail.plans import q_drill, q_ingest, q_insight, q_kpi, q_ml, q_quality, q_store, q_trend  # noqa: F401
+    from contrail.plans import q_drill, q_ingest, q_insight, q_kpi, q_lifecycle, q_ml, q_quality, q_store, q_trend  # noqa: F401

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Wire format of one event (JSON object per message).  Month, DayOfWeek and
+# Wire format of one event (JSON object per message).  Month, DayOfWeek and
 # CRS_DEP_TIME are read as DOUBLE and cast afterwards: ``from_json`` turns a
 # float-typed ``5.0`` into NULL when the field is declared INT.
 RAW_EVENT = T.StructType([
@@ -27,31 +27,7 @@ RAW_EVENT = T.StructType([
 CAUSE_COLUMNS = ["delay_due_weather", "delay_due_carrier", "delay_due_nas",
                  "delay_due_late_aircraft"]
 
-# Typed flight event, lower-case names (what the fixtures and the parser give).
-FLIGHT = T.StructType([
-    T.StructField("flight_id", T.StringType()),
-    T.StructField("timestamp", T.TimestampNTZType()),
-    T.StructField("airline_code", T.StringType()),
-    T.StructField("origin", T.StringType()),
-    T.StructField("dest", T.StringType()),
-    T.StructField("crs_dep_time", T.IntegerType()),
-    T.StructField("dep_delay", T.DoubleType()),
-    T.StructField("arr_delay", T.DoubleType()),
-    T.StructField("distance", T.DoubleType()),
-    *[T.StructField(c, T.DoubleType()) for c in CAUSE_COLUMNS],
-    T.StructField("month", T.IntegerType()),
-    T.StructField("day_of_week", T.IntegerType()),
-])
-
-# Enriched event as stored in the hot table.
-ENRICHED_COLUMNS = [
-    "flight_id", "timestamp", "airline_code", "origin", "dest", "dep_delay",
-    "arr_delay", "distance", "predicted_delay", "prediction_confidence",
-    "data_quality_score", "ingestion_timestamp", "processing_timestamp",
-    "processing_date",
-]
-
-# Columns kept by the per-batch cold archive.
+# Columns kept by the per-batch cold archive.
 ARCHIVE_COLUMNS = [
     "flight_id", "timestamp", "airline_code", "origin", "dest", "dep_delay",
     "arr_delay", "distance", "processing_timestamp",

@@ -2,5 +2,5 @@
 
 from contrail.sources.tables import (  # noqa: F401
     read_table, flight_events, flight_history, event_airports,
-    history_airports, airlines,
+    airlines,
 )

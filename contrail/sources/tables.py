@@ -14,31 +14,14 @@ from pyspark.sql import functions as F
 
 from contrail.schema import CAUSE_COLUMNS
 
-# Probe-side tables whose rows carry per-row work (spread when under-split;
-# dimensions and build sides are left alone).
-_FACT_TABLES = {"events", "lineitem"}
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guard for under-split inputs: a scan with fewer partitions than the
-    cluster's parallelism (e.g. one Parquet row group) is spread
-    round-robin so per-row work runs on every core.  A large table has
-    far more splits than cores and is returned untouched (no shuffle)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *, spread_small: bool = False) -> DataFrame:
-    """One supplied table.  ``spread_small`` applies ``spread`` to the
-    probe-side tables; off by default: measured on the supplied data, the
-    extra shuffle costs more than the per-row work it parallelises, except
-    for JSON decoding in the ingest, which spreads its micro-batches."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_small and name in _FACT_TABLES else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _d(x) -> Column:
@@ -126,16 +109,6 @@ def event_airports(spark: SparkSession) -> DataFrame:
     )
 
 
-def history_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⨝ region: code = nation name, region = region name."""
-    na = read_table(spark, sf_dir, "nation")
-    re = read_table(spark, sf_dir, "region")
-    return (na.join(re, na.n_regionkey == re.r_regionkey)
-            .select(F.col("n_name").alias("code"), F.col("r_name").alias("region"),
-                    F.col("n_nationkey").cast("double").alias("lat"),
-                    F.col("n_regionkey").cast("double").alias("lon")))
-
-
 def airlines(flights: DataFrame) -> DataFrame:
     """Airline dimension derived from the data: code and an upper-case name."""
     return (flights.select("airline_code").where(F.col("airline_code").isNotNull())

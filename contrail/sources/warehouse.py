@@ -23,7 +23,7 @@ DDL = {
         "prediction_confidence DOUBLE, data_quality_score DOUBLE, ingestion_timestamp TIMESTAMP, "
         "processing_timestamp TIMESTAMP, crs_dep_time INT, month INT, day_of_week INT, "
         "delay_due_weather DOUBLE, delay_due_carrier DOUBLE, delay_due_nas DOUBLE, "
-        "delay_due_late_aircraft DOUBLE, event_date DATE, batch_key STRING, processing_date DATE, part STRING",
+        "delay_due_late_aircraft DOUBLE, event_date DATE, batch_key STRING, model_version STRING, processing_date DATE, part STRING",
         "processing_date, part"),
     "fact_flight_events": (
         "flight_id STRING, timestamp TIMESTAMP_NTZ, airline_code STRING, origin STRING, dest STRING, "
@@ -46,7 +46,7 @@ VIEWS = {
        processing_date, batch_key, part FROM {db}.staging_flight_events""",
     "predictions": """SELECT concat(flight_id, '_pred') AS prediction_id, flight_id, timestamp, predicted_delay,
        dep_delay AS actual_delay, abs(predicted_delay - dep_delay) AS prediction_accuracy,
-       'v1.0' AS model_version, processing_timestamp, processing_date AS prediction_date, batch_key, part
+       coalesce(model_version, 'v1.0') AS model_version, processing_timestamp, processing_date AS prediction_date, batch_key, part
        FROM {db}.staging_flight_events""",
 }
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators.clean import clean_events, enriched_projection
-from contrail.operators.predict import fact_projection, predict_b, prediction_projection
+from contrail.operators.predict import MODEL_VERSION, fact_projection, predict_b, prediction_projection
 from contrail.schema import ARCHIVE_COLUMNS
 from contrail.session import checkpoint_dir
 from contrail.sources import manifest
@@ -171,7 +171,10 @@ def fan_out(spark: SparkSession, stores: Stores, batch: DataFrame, batch_id: int
     ends and begins besides; ``mended``: letters that it settles (all for
     ``replay_dead_letters``)."""
     rows = (batch.withColumn("event_date", F.to_date("timestamp"))
-            .withColumn("batch_key", F.lit(f"{stores.run}-{batch_id}")).persist())
+            .withColumn("batch_key", F.lit(f"{stores.run}-{batch_id}")))
+    if "model_version" not in rows.columns:
+        rows = rows.withColumn("model_version", F.lit(MODEL_VERSION))
+    rows = rows.persist()
     try:
         for attempt in range(8):
             try:
@@ -296,19 +299,27 @@ def _replay(spark: SparkSession, stores: Stores, snap: Snapshot, good: DataFrame
 
 
 def run_ingest(spark: SparkSession, messages: DataFrame, stores: Stores, *,
-               predictor=predict_b, processing_time=None, dedup_watermark: str | None = None,
+               predictor=predict_b, models: str | None = None, processing_time=None, dedup_watermark: str | None = None,
                query_name: str | None = None, available_now: bool = True):
     """Drain the message stream (``availableNow``) through
     ``fan_out`` with a durable checkpoint, then stop.  ``dedup_watermark``
     adds in-stream de-duplication of ids within the watermark (T5); the
-    durable dedup is the insert-ignore of the hot store."""
-    # a message without a time takes the broker's, which a replay sees again
+    durable dedup is the insert-ignore of the hot store.  ``models`` names a
+    model registry: each batch is scored by the version that serves when it
+    starts (T6), in place of ``predictor``."""
+    # a message without a time takes the source's, which a replay sees again
     arrived = F.col("kafka_timestamp") if "kafka_timestamp" in messages.columns else None
-    hot_rows = prepare(decode_events(messages, fallback_time=arrived), predictor=predictor, processing_time=processing_time)
+    rows = clean_events(decode_events(messages, fallback_time=arrived), processing_time=processing_time, derive_id=True)
     if dedup_watermark:
-        hot_rows = dedup_in_stream(hot_rows, dedup_watermark)
-    w = (hot_rows.writeStream.foreachBatch(lambda df, bid: fan_out(spark, stores, df, bid))
-         .option("checkpointLocation", stores.checkpoint))
+        rows = dedup_in_stream(rows, dedup_watermark)
+    if models:
+        from contrail.operators.registry import Serving
+        predictor = Serving(spark, models)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fan_out(spark, stores, enriched_projection(predictor(batch), ingestion_time=processing_time), batch_id)
+
+    w = rows.writeStream.foreachBatch(write).option("checkpointLocation", stores.checkpoint)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
