@@ -63,7 +63,9 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     from those."""
     x = F.col(col)
     counts = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    bounds = counts.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    # the bounds use ``n`` too: both sides then need the same exchange, which is run once
+    pair = F.struct("x", "n")
+    bounds = counts.agg(F.min(pair)["x"].alias("lo"), F.max(pair)["x"].alias("hi"))
     width = (F.col("hi") - F.col("lo")) / dbl(bins)
     raw = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * dbl(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(F.least(raw.cast("int"), F.lit(bins - 1)))

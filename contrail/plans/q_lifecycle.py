@@ -181,7 +181,7 @@ def store_compaction(spark, sf):
 SELECT 'batch_metadata' AS source, 'first-0' AS name, all_rows AS record_count, CAST(1 AS BIGINT) AS ok FROM n
 UNION ALL SELECT 'batch_metadata', 'replay-0', 0, 1 FROM n
 UNION ALL SELECT 'archive_metadata', 'archive-1', old, 1 FROM n
-UNION ALL SELECT 'schema_metadata', 'staging_flight_events_v1', 24, 1 FROM n
+UNION ALL SELECT 'schema_metadata', 'staging_flight_events_v1', 25, 1 FROM n
 UNION ALL SELECT 'schema_metadata', 'fact_flight_events_v1', 14, 1 FROM n
 UNION ALL SELECT 'schema_metadata', 'predictions_v1', 11, 1 FROM n
 UNION ALL SELECT 'catalog', 'staging_flight_events', all_rows, 1 FROM n
