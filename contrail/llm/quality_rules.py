@@ -74,11 +74,12 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     src = src.withColumn("c", alike)
     src = src.withColumn("p", F.sort_array(F.array_compact(F.when(small, near).otherwise(near_pairs))))
     covered = F.aggregate(F.transform("p", lambda x, j: F.least(F.lit(5), F.coalesce(F.get("p", j + 1) - x, F.lit(5)))), F.lit(0), lambda a, x: a + x)
-    return src.select(
-        "doc_id", F.size("h").cast("long").alias("n_words"), "word_chars", "n_symbols",
+    # one generated row: a filter on a measurement stays above it, so it never repeats the expressions behind the others
+    return src.select("doc_id", F.inline(F.array(F.struct(
+        F.size("h").cast("long").alias("n_words"), F.col("word_chars"), F.col("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size("lines").cast("long").alias("n_lines"), "n_upper")
+        F.size("lines").cast("long").alias("n_lines"), F.col("n_upper")))))
 
 
 def _any(conditions: list[Column]) -> Column:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import BYTE_VALUES, M1, M2, M3, _run_hashes, batches, buffers, documents_of, mix
+from contrail.llm.common import BYTE_VALUES, M1, M2, M3, _run_hashes, batches, buffers, documents_of, mix, text_key
 
 WINDOW = 8
 LEAST_LITERALS = 4
@@ -284,8 +284,8 @@ def _best(t: Template, index: Index) -> dict[tuple[int, int], tuple[Alignment, i
 
 
 def _matches(it: Iterator[pa.RecordBatch], index: Benchmark) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "item_id", "n_windows", "longest_run", "share", "n_slots", "n_changed", "consistent"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
+    names = ["doc_id", "item_id", "n_windows", "longest_run", "share", "n_slots", "n_changed", "consistent", "text_key"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
     for b in batches(it, "data", 1 << 21):
         t = Template(*buffers(b.column("data")))
         found = _best(t, index.template)
@@ -293,30 +293,32 @@ def _matches(it: Iterator[pa.RecordBatch], index: Benchmark) -> Iterator[pa.Reco
             for pair, x in _best(t.exact(), index.exact).items():
                 if pair not in found or not _is_leak(*found[pair]):
                     found[pair] = x
-        rows, ids = [], b.column("doc_id").to_pylist()
+        rows, ids, keys = [], b.column("doc_id").to_pylist(), b.column("text_key").to_pylist() if "text_key" in b.schema.names else [None] * b.num_rows
         for (doc, item), (x, n) in sorted(found.items(), key=lambda f: f[0]):
             changed = sum(v != y for (_, y), v in x.pairs.items())
-            rows.append((ids[doc], index.ids[item], x.n_windows, x.longest, x.covered.bit_count() / n, len(x.pairs), changed, True))
+            rows.append((ids[doc], index.ids[item], x.n_windows, x.longest, x.covered.bit_count() / n, len(x.pairs), changed, True, keys[doc]))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+               with_key: bool = False) -> DataFrame:
     """One row per document and benchmark item in it: doc_id, item_id,
     n_windows, longest_run (template tokens), share (of the item's
     tokens; both of plain tokens, and no slots, where only those show it), n_slots, n_changed (slots with another value), consistent; all
     of the item's matches if they are consistent, else of its best alignment.  A
     leak has consistent slots and a run of ``RUN`` tokens or ``SHARE`` of the
-    item."""
-    src = documents_of(docs, id_col, text_col)
+    item.  ``with_key`` adds text_key, which with the id names the text that leaks."""
+    src = documents_of(docs, id_col, text_col).withColumn("text_key", text_key(F.col("data")))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # a token and its separator are two bytes at least
     n = max(1, -(-size // (2 * SLICE)))
-    schema = "doc_id long, item_id long, n_windows long, longest_run long, share double, n_slots long, n_changed long, consistent boolean"
+    schema = "doc_id long, item_id long, n_windows long, longest_run long, share double, n_slots long, n_changed long, consistent boolean, text_key long"
     out = None
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         index = docs.sparkSession.sparkContext.broadcast(Benchmark([tuple(r) for r in part.collect()]))  # a slice of bounded size
         found = src.mapInArrow(lambda it, index=index: _matches(it, index.value), schema)
         out = found if out is None else out.union(found)
-    return out.where(F.col("consistent") & ((F.col("longest_run") >= RUN) | (F.col("share") >= SHARE)))
+    out = out.where(F.col("consistent") & ((F.col("longest_run") >= RUN) | (F.col("share") >= SHARE)))
+    return out if with_key else out.drop("text_key")

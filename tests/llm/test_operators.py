@@ -127,6 +127,18 @@ def test_signature_guarantee():
     assert sum(sizes) == 64 and 2 * len(sizes) > bound  # so one chunk has at most one error
 
 
+def test_quality_rules_can_be_filtered(docs):
+    """Filters on the measures and the verdict, without a table in between."""
+    whole = ledger(measure(docs))
+    all_rows = sorted(map(tuple, apply_policy(whole, "web-1").collect()), key=str)
+    names = apply_policy(whole, "web-1").columns
+    for condition, keep in [("kept", lambda r: r["kept"]), ("not kept", lambda r: not r["kept"])] + [(f"{m} > 3", lambda r, m=m: r[m] > 3) for m in names if m.startswith("n_") or m == "word_chars"]:
+        want = [r for r in all_rows if keep(dict(zip(names, r)))]
+        assert sorted(map(tuple, apply_policy(whole, "web-1").where(condition).collect()), key=str) == want
+    counts = {r.rule: r.n_failed for r in ablations(whole, "web-1").collect()}
+    assert counts["few_words"] == sum(r[names.index("n_words")] < 10 for r in all_rows)
+
+
 def test_quality_rules(docs, none):
     rows = hard_rows()
     got = ledger(measure(docs)).collect()
