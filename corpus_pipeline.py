@@ -1,7 +1,9 @@
 """A corpus pipeline out of the operators in ``contrail.llm``.
 
 Each stage takes all that the stage before it kept, as documents, and returns
-documents (the last: packed pieces).  ``run`` writes every stage as Parquet in
+documents (the last: packed pieces).  Extra columns are ignored, whatever their
+names; an empty table stays empty; a null text is an empty one; a row is named by its
+id and its text, so rows that share an id, or have none, are judged alone.  ``run`` writes every stage as Parquet in
 the shared checkpoint folder and reads it again, so a lost executor costs no
 finished stage.
 
@@ -37,7 +39,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles,
-    similarity of 0.8 or more): that of the smallest id."""
+    similarity of 0.8 or more): that of the smallest id.  Equal texts without an
+    id all stay, as no id tells them apart; one that is near a document with an id goes."""
     kept = near_duplicates(docs, shingle_words=5, percent=80, with_key=True).where("kept").select(row_id().alias("k"), F.col("text_key").alias("t")).distinct()
     return docs.select(*COLUMNS).join(kept, (row_id() == F.col("k")) & (text_key(F.col("text")) == F.col("t")), "left_semi")
 
@@ -54,9 +57,11 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k")).distinct()
-    return docs.select(*COLUMNS).join(leaks, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("k"), "left_anti")
+    """Documents without a benchmark item.  A leak names an id and a text: another
+    text of that id, or another row without an id, stays."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), with_key=True)
+    leaks = leaks.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("k"), F.col("text_key").alias("t")).distinct()
+    return docs.select(*COLUMNS).join(leaks, (row_id() == F.col("k")) & (text_key(F.col("text")) == F.col("t")), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
