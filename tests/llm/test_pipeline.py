@@ -60,3 +60,24 @@ def test_queries_match_sql(spark, name):
 def test_all_operators_are_registered():
     names = [n for n in E.queries() if n.startswith("op") and n[2].isdigit()]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
+
+
+def test_decontamination_drops_the_leaking_text_alone(spark):
+    leak = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"w{rng.randrange(4000)}" for _ in range(60)) for _ in range(3))
+    rows = [(None, leak), (7, leak + " " + a), (None, a), (7, b), (9, c)]  # two leaks, three clean rows
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, text_key string")
+    got = P.decontaminate(spark, docs, SF_SMALL)
+    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == sorted([(0, a), (7, b), (9, c)]) and got.columns == P.COLUMNS
+
+
+def test_stages_on_an_empty_table_and_clashing_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, k string, t string, rest string, label string, kept boolean, component_id long, text_key string, item_id string"
+    empty = spark.createDataFrame([], schema)
+    rows = [(1, "one short text of a few words", "en", "s", 30) + ("x",) * 4 + (True, 5, "x", "y"), (None, None, None, None, None) + (None,) * 8, (2, "", "en", "s", 0) + ("x",) * 4 + (False, 1, "x", "y")]
+    some = spark.createDataFrame(rows, schema)
+    for name, stage in P.STAGES[1:]:
+        assert stage(spark, empty, SF_SMALL).count() == 0, name
+        got = stage(spark, some, SF_SMALL)
+        assert got.count() == 3 and (name == "packing" or got.columns == P.COLUMNS), name
