@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.llm.license_scan import KNOWN, SPELLINGS
+from contrail.llm.license_scan import _COPYRIGHT, _PUNCTUATION, KNOWN, KNOWN_DIGESTS, SPELLINGS
 
 QUALITY_RULES = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -28,22 +28,23 @@ def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
-def _canonical(x: str) -> str:
-    out = rf"regexp_replace(lower({x}), '(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$', '', 'g')"
+def _lines(x: str) -> str:
+    out = f"regexp_replace(lower({x}), '{_COPYRIGHT}', '', 'g')"
     for a, b in SPELLINGS:
         out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
-    return rf"trim(regexp_replace({out}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'))"
+    return f"[trim(l) FOR l IN string_split(regexp_replace({out}, '{_PUNCTUATION}', ' ', 'g'), chr(10)) IF trim(l) <> '']"
 
 
 def license_scan_sql() -> str:
     values = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in sorted(KNOWN.items()))
+    digests = ", ".join(f"({_quoted(v)}, {_quoted(k)})" for k, v in sorted(KNOWN_DIGESTS.items()))
     return f"""
-WITH known AS (SELECT sha256({_canonical('t')}) AS digest, min(name) AS license FROM (VALUES {values}) AS k(name, t) GROUP BY 1),
-d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-lines AS (SELECT DISTINCT doc_id, unnest(string_split(t, chr(10))) AS x FROM d),
-hit AS (SELECT doc_id, string_agg(DISTINCT known.license, ',' ORDER BY known.license) AS notices FROM lines JOIN known ON sha256({_canonical('x')}) = known.digest
-        WHERE regexp_matches(lower(x), 'licen|permission|copyright') GROUP BY doc_id),
-c AS (SELECT doc_id, {_canonical('t')} AS n FROM d),
-g AS (SELECT doc_id, CASE WHEN n <> '' THEN sha256(n) END AS digest FROM c)
-SELECT g.doc_id, g.digest, known.license, coalesce(hit.notices, '') AS notices FROM g LEFT JOIN known USING (digest) LEFT JOIN hit USING (doc_id)
+WITH texts AS (SELECT name, {_lines('t')} AS ls FROM (VALUES {values}) AS k(name, t)),
+known AS (SELECT digest, min(license) AS license FROM (SELECT sha256(array_to_string(ls, ' ')) AS digest, name AS license FROM texts WHERE len(ls) > 0
+          UNION ALL SELECT * FROM (VALUES {digests}) AS k(digest, license)) GROUP BY digest),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_lines("coalesce(text, '')")} AS ls FROM documents),
+lines AS (SELECT DISTINCT r, unnest(ls) AS x FROM d),
+hit AS (SELECT r, string_agg(DISTINCT known.license, ',' ORDER BY known.license) AS notices FROM lines JOIN known ON sha256(x) = known.digest GROUP BY r),
+g AS (SELECT r, doc_id, CASE WHEN len(ls) > 0 THEN sha256(array_to_string(ls, ' ')) END AS digest FROM d)
+SELECT g.doc_id, g.digest, known.license, coalesce(hit.notices, '') AS notices FROM g LEFT JOIN known USING (digest) LEFT JOIN hit USING (r)
 """

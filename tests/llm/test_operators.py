@@ -2,7 +2,9 @@
 nulls, empty and very long texts, ties and repeated rows, empty tables, extra
 columns with clashing names."""
 
+import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm.common import Words
 from contrail.llm.html_wrapper import Page, extract, main_text, match, merged, template_texts
-from contrail.llm.license_scan import KNOWN, license_scan
+from contrail.llm.license_scan import KNOWN, known_licenses, license_scan
 from contrail.llm.minhash_hamming import chunk_sizes, error_bound, near_duplicates, shingles, signatures
 from contrail.llm.packing import Encoder, combinations, nnls, pack, plan
 from contrail.llm.quality_classifier import fit, held_out, quality_scores
@@ -256,6 +258,27 @@ def test_license_scan(spark, none):
     assert license_scan(none).count() == 0
 
 
+def test_whole_licences_are_found(spark):
+    """Rewrapped, indented, behind comment signs, with notices of their own."""
+    def variants(text):
+        yield text
+        yield "\n".join("# " + line for line in ["Copyright (c) 2021 A. Body", *text.split("\n")])
+        yield "/*\n * Copyright 2001-2019, B. Body\n" + "\n".join(" * " + line for line in text.split("\n")) + "\n */"
+        yield " ".join(text.split()).upper() if not re.search("(?im)^[ ]*(copyright [(0-9\\[]|all rights)", text) else text
+
+    texts = {name: KNOWN[name] for name in ("MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause")}
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    for name, file in files.items():  # as this machine's system has them
+        if os.path.exists(f"/usr/share/common-licenses/{file}"):
+            texts[name] = open(f"/usr/share/common-licenses/{file}", encoding="utf-8").read()
+    rows = [(i, name, v) for i, (name, v) in enumerate((name, v) for name, t in texts.items() for v in variants(t))]
+    docs = spark.createDataFrame([(i, v) for i, _, v in rows], "doc_id long, text string")
+    assert {r.doc_id: r.license for r in license_scan(docs).collect()} == {i: name for i, name, _ in rows}
+    own = known_licenses(spark, {"House": "All rights go to nobody.\nEver.", "Line": "Take it!"})  # a caller's table, without any of the usual words
+    docs = spark.createDataFrame([(1, "all rights  go to\nnobody ever"), (2, "x\n  TAKE it\ny"), (3, "take it not")], "doc_id long, text string")
+    assert {(r.doc_id, r.license, tuple(r.notices)) for r in license_scan(docs, own).collect()} == {(1, "House", ()), (2, None, ("Line",)), (3, None, ())}
+
+
 PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body><div class="top">Site of all pages</div><nav><a>x{0}</a></nav>
 <div id="main-col"><h1>Head {0}</h1><p>First &amp; {0}<p>second&nbsp;<b>bold {0}</p><ul><li>one {0}<li>two</ul></div><div class="comments"><p>c {0}</div><footer>f</footer></body></html>"""
 
