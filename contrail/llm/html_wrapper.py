@@ -1,36 +1,43 @@
 """Operator 7, HTML extraction by wrapper induction.
 
 Each page is parsed to an element tree; runs of equal siblings fold into one
-node, so a tree has the size of the page's layout, not of its text.  The trees
-of a host are aligned by simple tree matching and merged into one wrapper: a
-node holds whether its text was the same on all pages seen, and which of its
-lines all of them have, so a constant sibling shows beside varying ones that share
-its node (rows of a list or table are judged together).  Wrappers are merged
-first within a task, then in parts of a host, then per host, so a host with a
-third of all pages costs each step one small tree per task.
-
-A page is then aligned with its host's wrapper.  Nodes of the roles menu,
+node, so a tree has the size of the page's layout, not of its text.  Pages of one
+host and one layout (the same folded tree) are joined node by node: a node holds
+whether its text was the same on all pages seen, and which of its lines all of them
+have, so a constant sibling shows beside varying ones that share its node (rows of
+a list or table are judged together).  That joining has no order.  The layouts of a
+host are then aligned by simple tree matching and merged into one wrapper, in the
+order of their signatures and in steps of fixed parts, so the result does not depend
+on how pages lie in partitions, and a host with a third of all pages costs each task
+one small tree for each layout.
+
+A page is then aligned with the tree of its own layout, if that has ``MIN_PAGES``
+different pages, else with its host's wrapper.  Nodes of the roles menu,
 header, footer, sidebar, notice, advert, form, script, style and reader comment
-are template, whatever they hold; so are nodes outside a marked article whose
-text was constant on ``MIN_PAGES`` different pages.  The varying slots are the
-content; where a marked article holds most of them, it alone, as a whole.
+are template, whatever they hold (but for an article's title in the article's own
+header); so are nodes whose text was constant on ``MIN_PAGES`` different pages, and
+inside a marked article the lines that all pages have.  The varying slots are the
+content; where a host's marked articles hold most of it over all its pages, they
+alone, as a whole, on each of its pages that has one.
 
 Defined cases: null or empty html gives an empty text; a null url is a host of
 its own name ''; unclosed and crossed tags end where their parents end; nesting
-beyond ``MAX_DEPTH`` counts as that depth; repeated rows are extracted as rows;
-an empty table gives an empty result; other columns are ignored.
+beyond ``MAX_DEPTH`` shares that depth's node, but a role below it still counts;
+repeated rows are extracted as rows; an empty table gives an empty result; other
+columns are ignored.  Parsing takes time in proportion to the page.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 from zlib import crc32
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +45,12 @@ from contrail.llm.common import materialise
 
 MIN_PAGES = 3
 MAX_DEPTH = 60
-#: Parts of a host whose wrappers are merged apart before they are merged.
+#: Parts in which the trees of one layout are joined before they become one.
 PARTS = 64
+#: Layouts that a task gathers before it passes them on.
+HELD = 5000
+#: Digits of a layout's name by which the layouts of a host are merged in parts, step by step.
+STEPS = (3, 1, 0)
 
 # Element names of the HTML standard by their role here (fixed values).
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -74,18 +85,57 @@ def _noisy(attributes: str) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, with the places of each name and of the blocks."""
+
+    def __init__(self):
+        self.names: list[str] = ["#"]
+        self.nodes: list[int] = [0]
+        self.roles: list[str] = [""]  # why an element's text is template: "", "header" (of an article) or "noise"
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, name: str, node: int, role: str) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        if name in BLOCKS:
+            self.blocks.append(len(self.names))
+        self.names.append(name)
+        self.nodes.append(node)
+        self.roles.append(role)
+
+    def last(self, name: str) -> int:
+        """The place of the innermost open element of a name; 0 for none."""
+        return self.places[name][-1] if self.places.get(name) else 0
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        while len(self.names) > place:
+            name = self.names.pop()
+            self.nodes.pop()
+            self.roles.pop()
+            self.places[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+
+    def block_inside(self, place: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] > place
+
+
 class Page:
-    """Elements (label, parent) and texts (element, block, text) of a page."""
+    """Elements (label, parent) and texts (element, block, text, under a role) of a page."""
 
     def __init__(self, source: str):
         self.labels, self.parents, self.noise = ["#"], [-1], [False]
-        self.texts: list[tuple[int, int, str]] = []
-        tags, stack, block, at = ["#"], [0], 0, 0
+        self.texts: list[tuple[int, int, str, bool]] = []
+        opened, block, at = _Open(), 0, 0
+        last = source.rfind(">") + 1  # behind it no tag ends: what begins like a comment there goes, the rest is text
+        if m := re.compile("<[!?]").search(source, last):
+            source = source[:m.start()]
         while at < len(source):
-            m = _TAG.search(source, at)
+            m = _TAG.search(source, at, last)
             end = m.start() if m else len(source)
             if end > at:
-                self.texts.append((stack[-1], block, source[at:end]))
+                self.texts.append((opened.nodes[-1], block, source[at:end], opened.roles[-1] != ""))
             if not m:
                 break
             at = m.end()
@@ -94,41 +144,41 @@ class Page:
                 continue
             name = name.lower()
             if close:
-                if name in tags:
-                    k = len(tags) - 1 - tags[::-1].index(name)
-                    if name in BLOCKS or not any(t in BLOCKS for t in tags[k + 1:]):
-                        del tags[k:], stack[k:]
+                if k := opened.last(name):
+                    if name in BLOCKS or not opened.block_inside(k):
+                        opened.cut(k)
                     block += name in BLOCKS
                 elif name == "p":
                     block += 1
                 continue
             if name in CLOSES:
                 ends, scope = CLOSES[name]
-                for k in range(len(tags) - 1, 0, -1):
-                    if tags[k] in scope:
-                        break
-                    if tags[k] in ends:
-                        del tags[k:], stack[k:]
-                        break
+                k = max(opened.last(t) for t in ends)
+                if k > max(opened.last(t) for t in scope):
+                    opened.cut(k)
             if name in BLOCKS:
                 block += 1
-                if "p" in tags:
-                    k = len(tags) - 1 - tags[::-1].index("p")
-                    if not any(t in BLOCKS for t in tags[k + 1:]):
-                        del tags[k:], stack[k:]
+                if (k := opened.last("p")) and not (opened.blocks[-1] > k):
+                    opened.cut(k)
             if name in VOID:
                 if name == "br":
-                    self.texts.append((stack[-1], block, " "))
+                    self.texts.append((opened.nodes[-1], block, " ", opened.roles[-1] != ""))
                 continue
             noisy = name in DROPPED or (name not in WHOLE and bool(attributes) and _noisy(attributes))
-            if len(stack) <= MAX_DEPTH:
-                self.labels.append(name + "!" * noisy)
-                self.parents.append(stack[-1])
-                self.noise.append(noisy)
-                stack.append(len(self.labels) - 1)
+            role = opened.roles[-1]
+            if noisy and role != "noise":
+                inside = max(opened.last(t) for t in MAIN) > 0
+                role = "header" if name == "header" and inside and not (attributes and _noisy(attributes)) else "noise"
+            elif name == "h1" and role == "header":
+                role = ""  # the title of an article, in the article's own header
+            if len(opened.nodes) <= MAX_DEPTH:
+                self.labels.append(name + "!" * (role != ""))
+                self.parents.append(opened.nodes[-1])
+                self.noise.append(role != "")
+                node = len(self.labels) - 1
             else:
-                stack.append(stack[-1])
-            tags.append(name)
+                node = opened.nodes[-1]
+            opened.push(name, node, role)
             if name in RAW and not attributes.endswith("/"):
                 if name not in _ENDS:
                     _ENDS[name] = re.compile(rf"</{name}\s*(?:>|\Z)", re.I)
@@ -159,7 +209,7 @@ class Page:
     def line_marks(self) -> dict[int, int]:
         """A mark of the whole text of each block."""
         blocks: dict[int, list[str]] = {}
-        for _, block, t in self.texts:
+        for _, block, t, _ in self.texts:
             blocks.setdefault(block, []).append(t)
         return {block: crc32(" ".join("".join(parts).split()).encode("utf-8", "replace")) for block, parts in blocks.items()}
 
@@ -170,7 +220,7 @@ class Page:
         own: dict[int, list[str]] = {}
         lines: dict[int, set[int]] = {}
         marks = self.line_marks()
-        for e, block, t in self.texts:
+        for e, block, t, _ in self.texts:
             if t := t.strip():
                 own.setdefault(self.fold[e], []).append(t)
                 if not self.in_row[e]:
@@ -241,10 +291,9 @@ def merged(trees: list[list]) -> list:
     return out
 
 
-def template_texts(page: Page, wrapper: list | None) -> list[bool]:
-    """For each text of a page: is it template?"""
+def slots_of(page: Page, wrapper: list | None) -> list[Slot]:
+    """For each text of a page what the host's wrapper says about it."""
     tree = page.tree()
-    noise = ["!" in label for label in page.fold_label]
     index = {}
     todo = [(tree, 0)]
     while todo:
@@ -252,75 +301,129 @@ def template_texts(page: Page, wrapper: list | None) -> list[bool]:
         index[id(node)] = i
         todo += zip(node[1], page.children[i])
     memo: dict = {}
-    dropped_at, inside_at, constant_at = [False] * len(noise), [False] * len(noise), [False] * len(noise)
-    known: list[frozenset[int]] = [frozenset()] * len(noise)  # lines of a node that all pages have
-    todo = [(tree, wrapper, False, False)]
+    inside_at, constant_at = [False] * len(page.fold_label), [False] * len(page.fold_label)
+    known: list[frozenset[int]] = [frozenset()] * len(page.fold_label)  # lines of a node that all pages have
+    todo = [(tree, wrapper, False)]
     while todo:
-        node, other, dropped, inside = todo.pop()
+        node, other, inside = todo.pop()
         i = index[id(node)]
         inside_at[i] = inside = inside or node[0] in MAIN
-        dropped_at[i] = dropped = dropped or noise[i]
         seen = other is not None and len(other[2]) >= MIN_PAGES
         constant_at[i] = seen and other[3] is not None
         if seen:
             known[i] = frozenset(other[4])
         pairs = dict(aligned(node, other, memo)) if other is not None else {}
-        todo += [(c, other[1][pairs[k]] if k in pairs else None, dropped, inside) for k, c in enumerate(node[1])]
+        todo += [(c, other[1][pairs[k]] if k in pairs else None, inside) for k, c in enumerate(node[1])]
     marks = page.line_marks()
-    # texts: under a dropped node, inside a marked article, constant on the host's pages
     rows = []
-    for e, block, _ in page.texts:
+    for e, block, _, role in page.texts:
         i = page.fold[e]
-        rows.append((dropped_at[i], inside_at[i], constant_at[i] or (not page.in_row[e] and marks[block] in known[i])))
-    # a marked article is the page's text if it holds most of what varies (of all text, if nothing does)
-    share = [[0, 0], [0, 0]]
-    for (dropped, inside, constant), (_, _, text) in zip(rows, page.texts):
-        if not dropped:
-            share[constant][inside] += len("".join(text.split()))
-    outside, within = share[0] if any(share[0]) else share[1]
-    has_main = within > outside
-    return [dropped or (not inside and (constant or has_main)) for dropped, inside, constant in rows]
-
-
-def extract(page: Page, template: list[bool]) -> str:
+        same = not page.in_row[e] and marks[block] in known[i]
+        rows.append(Slot(role, inside_at[i], same if inside_at[i] else constant_at[i] or same))
+    return rows
+
+
+class Slot(NamedTuple):
+    """What the wrapper says about one text of a page."""
+    role: bool  # under a menu, header, ...
+    inside: bool  # in a marked article
+    constant: bool  # the same on all pages
+
+
+def shares(page: Page, slots: list[Slot]) -> tuple[int, int, int, int]:
+    """Characters that vary, outside and inside of marked articles, and that are constant."""
+    out = [0, 0, 0, 0]
+    for slot, (_, _, text, _) in zip(slots, page.texts):
+        if not slot.role:
+            out[2 * slot.constant + slot.inside] += len("".join(text.split()))
+    return tuple(out)
+
+
+def extract(page: Page, slots: list[Slot], articles: bool) -> str:
+    """The content; of marked articles alone, if ``articles`` and the page has one."""
+    articles = articles and any(s.inside and not s.role for s in slots)
     blocks: dict[int, list[str]] = {}
-    for (_, block, text), dropped in zip(page.texts, template):
-        if not dropped:
+    for (_, block, text, _), slot in zip(page.texts, slots):
+        if not (slot.role or slot.constant or (articles and not slot.inside)):
             blocks.setdefault(block, []).append(html.unescape(text))
     lines = (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
 
 
-def _wrappers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One wrapper per host and task."""
-    found: dict[str, list] = {}
+def overlaid(a: list, b: list) -> list:
+    """Two trees of one layout as one; in any order the same."""
+    marks = sorted({*a[2], *b[2]})[:MIN_PAGES]
+    return [a[0], [overlaid(x, y) for x, y in zip(a[1], b[1])], marks, a[3] if a[3] == b[3] else None, a[4] if a[4] == b[4] else sorted({*a[4]} & {*b[4]})]
+
+
+def signature(tree: list) -> str:
+    """The name of a layout."""
+    return hashlib.md5(_signature(tree).encode("utf-8", "replace")).hexdigest()
+
+
+_LAYOUT = "host string, layout string, wrapper string"
+
+
+def _table(rows) -> pa.RecordBatch:
+    hosts, layouts, trees = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(layouts, pa.string()), pa.array([json.dumps(t) for t in trees], pa.string())], names=["host", "layout", "wrapper"])
+
+
+def _layouts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One tree per host and layout of a task, passed on when ``HELD`` are there."""
+    found: dict[tuple[str, str], list] = {}
     for b in it:
         for host, source in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             tree = Page(source).tree()
-            found[host] = merge(found[host], tree, {}) if host in found else tree
-    part = TaskContext.get().partitionId() % PARTS
-    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([part] * len(found), pa.int32()), pa.array([json.dumps(t) for t in found.values()], pa.string())],
-                                     names=["host", "part", "wrapper"])
+            key = host, signature(tree)
+            found[key] = overlaid(found[key], tree) if key in found else tree
+            if len(found) >= HELD:
+                yield _table([(*k, t) for k, t in found.items()])
+                found.clear()
+    yield _table([(*k, t) for k, t in found.items()])
+
+
+def _one_layout(table: pa.Table) -> pa.Table:
+    out = None
+    for text in table.column("wrapper"):
+        tree = json.loads(text.as_py())
+        out = tree if out is None else overlaid(out, tree)
+    return pa.Table.from_batches([_table([(table.column("host")[0].as_py(), table.column("layout")[0].as_py(), out)])])
 
 
-def _join(table: pa.Table) -> pa.Table:
-    trees = [json.loads(x) for x in sorted(table.column("wrapper").to_pylist())]
-    return pa.table({"host": table.column("host").slice(0, 1), "part": table.column("part").slice(0, 1), "wrapper": pa.array([json.dumps(merged(trees))], pa.string())})
+def _aligned_layouts(table: pa.Table) -> pa.Table:
+    """The trees of a host, merged in the order of their names."""
+    rows = sorted(zip(table.column("layout").to_pylist(), table.column("wrapper").to_pylist()))
+    out = merged([json.loads(t) for _, t in rows])
+    return pa.Table.from_batches([_table([(table.column("host")[0].as_py(), rows[0][0], out)])])
+
+
+def _named(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with the name of their layout."""
+    for b in it:
+        names = [signature(Page(source).tree()) for source in b.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string())], names=[*b.schema.names, "layout"])
 
 
-def _extracted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with their wrapper -> the content as a whole and of articles alone,
+    and the shares that tell which of them the host goes by."""
     known: dict[str, list] = {}
     for b in it:
-        texts = []
-        for host, source, wrapper in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), b.column("wrapper").to_pylist()):
-            if host not in known:
-                if len(known) > 10000:
+        out = []
+        for source, wrapper in zip(b.column("html").to_pylist(), b.column("wrapper").to_pylist()):
+            if wrapper not in known:
+                if len(known) > 1000:
                     known.clear()
-                known[host] = json.loads(wrapper) if wrapper else None
+                known[wrapper] = json.loads(wrapper) if wrapper else None
             page = Page(source)
-            texts.append(extract(page, template_texts(page, known[host])))
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                                         names=["page_id", "url", "text", "n_chars"])
+            slots = slots_of(page, known[wrapper])
+            whole, articles = extract(page, slots, False), extract(page, slots, True)
+            out.append((whole, None if articles == whole else articles, *shares(page, slots)))
+        columns = list(zip(*out)) if out else [()] * 6
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
+                                          *[pa.array(c, pa.int64()) for c in columns[2:]]],
+                                         names=["page_id", "url", "host", "whole", "articles", "varies_out", "varies_in", "same_out", "same_in"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -328,8 +431,23 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"), host.alias("host"))
-    schema = "host string, part int, wrapper string"
-    wrappers = src.select("host", "html").mapInArrow(_wrappers, schema)
-    wrappers = wrappers.groupBy("host", "part").applyInArrow(_join, schema).groupBy("host").applyInArrow(_join, schema)
-    wrappers = materialise(wrappers.select("host", "wrapper"))
-    return src.join(wrappers, "host", "left").select("page_id", "url", "html", "host", "wrapper").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    trees = src.select("host", "html").mapInArrow(_layouts, _LAYOUT)
+    # a common layout comes from every task: its trees are joined in parts first
+    trees = trees.groupBy("host", "layout", F.pmod(F.xxhash64("wrapper"), F.lit(PARTS))).applyInArrow(_one_layout, _LAYOUT)
+    layouts = materialise(trees.groupBy("host", "layout").applyInArrow(_one_layout, _LAYOUT))
+    trees = layouts
+    for digits in STEPS:  # layouts of a host, merged in parts that their names give
+        trees = trees.groupBy("host", F.substring("layout", 1, digits)).applyInArrow(_aligned_layouts, _LAYOUT) if digits else trees.groupBy("host").applyInArrow(_aligned_layouts, _LAYOUT)
+    wrappers = materialise(trees.select("host", "wrapper"))
+    # a tree begins with its label and children and holds its pages' marks third
+    several = F.size(F.from_json(F.get_json_object("wrapper", "$[2]"), "array<long>")) >= MIN_PAGES
+    own = layouts.where(several).select("host", "layout", F.col("wrapper").alias("own"))
+    named = src.mapInArrow(_named, "page_id long, url string, html string, host string, layout string").join(own, ["host", "layout"], "left").join(wrappers, "host", "left")
+    read = materialise(named.select("page_id", "url", "html", "host", F.coalesce("own", "wrapper").alias("wrapper")).mapInArrow(
+        _read, "page_id long, url string, host string, whole string, articles string, varies_out long, varies_in long, same_out long, same_in long"))
+    # a host goes by its articles if they hold most of what varies on its pages (of all text, if nothing does)
+    total = read.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("varies_out", "varies_in", "same_out", "same_in")])
+    varies = F.col("varies_out") + F.col("varies_in") > 0
+    marked = total.select("host", F.when(varies, F.col("varies_in") > F.col("varies_out")).otherwise(F.col("same_in") > F.col("same_out")).alias("marked"))
+    text = F.when(F.col("marked"), F.coalesce("articles", "whole")).otherwise(F.col("whole"))
+    return read.join(marked, "host", "left").select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
