@@ -3,12 +3,15 @@
     spark-submit -m contrail.jobs ingest  --stores <root> --source kafka --topic flight_events --servers host:9092
     spark-submit -m contrail.jobs archive --stores <root> --as-of 2024-01-31T00:00:00 --threshold-mb 300
     spark-submit -m contrail.jobs train   --input <history.csv|parquet> --model-out <path> --model gbt
+    spark-submit -m contrail.jobs train   --input <history.csv|parquet> --registry <path> --model gbt
     spark-submit -m contrail.jobs warehouse --stores <root> --database flight_dw
+    spark-submit -m contrail.jobs compact --stores <root>
+    spark-submit -m contrail.jobs vacuum  --stores <root> --grace-seconds 3600
 
 The stores root defaults to ``<spark.checkpoint.dir>/stores`` (shared
 storage on a cluster).  Each job is safe to re-run: the ingest resumes from
-its checkpoint and its writes are keyed, the archive skips rows already in
-cold, the warehouse DDL is ``IF NOT EXISTS``.
+its checkpoint and its writes are keyed, an archive run or a compaction is one
+commit, the warehouse DDL is ``IF NOT EXISTS``.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ def ingest(spark: SparkSession, a) -> None:
     msgs = open_stream(spark, a.source, path=a.path, topic=a.topic, servers=a.servers,
                        max_per_trigger=a.max_per_trigger)
     model = ml.load(spark, a.model, required=True) if a.model else None
-    run_ingest(spark, msgs, _stores(spark, a.stores, a.run), predictor=ml.predictor(model),
+    run_ingest(spark, msgs, _stores(spark, a.stores, a.run), predictor=ml.predictor(model), models=a.models,
                dedup_watermark=a.dedup_watermark, available_now=not a.continuous)
 
 
@@ -52,8 +55,25 @@ def train(spark: SparkSession, a) -> None:
         from pyspark.sql import functions as F
         df = df.withColumn("flight_id", F.xxhash64(*df.columns).cast("string"))
     fitted, _, metrics = ml.train(df, target=a.target, model=a.model, max_iter=a.max_iter)
-    ml.save(fitted, a.model_out, metrics, ml.pick_target(df.columns, a.target))
-    print(json.dumps(metrics.first().asDict()))
+    target = ml.pick_target(df.columns, a.target)
+    out = metrics.first().asDict()
+    if a.model_out:
+        ml.save(fitted, a.model_out, metrics, target)
+    if a.registry:
+        from contrail.operators import registry
+        out["version"] = registry.publish(spark, a.registry, fitted, metrics, target)
+    print(json.dumps(out))
+
+
+def compact(spark: SparkSession, a) -> None:
+    from contrail.operators import compaction
+    st = _stores(spark, a.stores)
+    print(json.dumps({s: compaction.compact(spark, st, s, target_bytes=a.target_mb << 20) for s in compaction.DAY_COLUMNS}))
+
+
+def vacuum(spark: SparkSession, a) -> None:
+    from contrail.operators import retention
+    print(json.dumps({"folders": retention.vacuum(spark, _stores(spark, a.stores), a.grace_seconds)}))
 
 
 def warehouse(spark: SparkSession, a) -> None:
@@ -72,8 +92,9 @@ def main(argv=None) -> int:
     i.add_argument("--path")
     i.add_argument("--topic", default="flight_events")
     i.add_argument("--servers", default="localhost:9092")
-    i.add_argument("--max-per-trigger", type=int, default=1000)
+    i.add_argument("--max-per-trigger", type=int, help="messages or files a trigger; all there is by default")
     i.add_argument("--model", nargs="*")
+    i.add_argument("--models", help="a model registry: each batch is scored by the version that serves then")
     i.add_argument("--dedup-watermark")
     i.add_argument("--continuous", action="store_true")
     r = sub.add_parser("archive")
@@ -83,17 +104,26 @@ def main(argv=None) -> int:
     r.add_argument("--threshold-mb", type=float)
     t = sub.add_parser("train")
     t.add_argument("--input", required=True)
-    t.add_argument("--model-out", required=True)
+    t.add_argument("--model-out")
+    t.add_argument("--registry")
     t.add_argument("--target", default="arr_delay")
     t.add_argument("--model", default="gbt", choices=["gbt", "rf"])
     t.add_argument("--max-iter", type=int, default=100)
     w = sub.add_parser("warehouse")
     w.add_argument("--stores")
     w.add_argument("--database", default="flight_dw")
+    c = sub.add_parser("compact")
+    c.add_argument("--stores")
+    c.add_argument("--target-mb", type=int, default=128)
+    v = sub.add_parser("vacuum")
+    v.add_argument("--stores")
+    v.add_argument("--grace-seconds", type=float, default=3600.0)
     a = p.parse_args(argv)
+    if a.job == "train" and not (a.model_out or a.registry):
+        p.error("train needs --model-out or --registry")
     from contrail.session import job_spark
     spark = job_spark(f"contrail-{a.job}")
-    {"ingest": ingest, "archive": archive, "train": train, "warehouse": warehouse}[a.job](spark, a)
+    {"ingest": ingest, "archive": archive, "train": train, "warehouse": warehouse, "compact": compact, "vacuum": vacuum}[a.job](spark, a)
     return 0
 
 
