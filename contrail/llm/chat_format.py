@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import materialise
+from contrail.llm.common import buffers, materialise
 from contrail.llm.packing import Encoder
 
 GROUPS = 64
@@ -92,11 +92,25 @@ LLAMA = Template()
 
 @dataclass(frozen=True)
 class Formatted:
-    """``nodes``: tree, node, parent, depth, conversations, start, until, position,
-    n_tokens, loss_from, loss_to, token_ids, groups (of conversations that use it);
-    ``paths``: named, conv_id, idx, node of every turn."""
-    nodes: DataFrame
+    """``stored``: tree, node, parent, depth, conversations, start, until, position,
+    n_tokens, loss_from, loss_to, tokens (ids as little-endian numbers of ``bytes_of``
+    the vocabulary), groups (of conversations that use the node); ``nodes`` has
+    ``token_ids`` in place of ``tokens``; ``paths``: named, conv_id, idx, node of every turn."""
+    stored: DataFrame
     paths: DataFrame
+    tokenizer: str
+
+    @property
+    def nodes(self) -> DataFrame:
+        columns = ["token_ids" if c == "tokens" else c for c in self.stored.columns]
+        types = dict(self.stored.dtypes) | {"token_ids": "array<int>"}
+        tokenizer = self.tokenizer
+        return self.stored.mapInArrow(lambda it: _ids(it, bytes_of(tokenizer)), ", ".join(f"{c} {types[c]}" for c in columns))
+
+
+def bytes_of(tokenizer: str) -> str:
+    """The number type that holds every id of a vocabulary."""
+    return "<u2" if Encoder.of(tokenizer).encoding.n_vocab <= 1 << 16 else "<u4"
 
 
 def _group() -> Column:
@@ -110,12 +124,13 @@ def _chained(template: Template, tokenizer: str):
     """Sorted turns -> their nodes; a conversation's digest and position go from
     batch to batch."""
     def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, memo = Encoder.of(tokenizer), {}
+        encoder, kind, memo = Encoder.of(tokenizer), bytes_of(tokenizer), {}
+        width = int(kind[-1])
 
         def encoded(role: str, text: str, first: bool) -> tuple[bytes, int, int]:
             key = (role, text, first)
             if key not in memo:
-                parts = [np.asarray(encoder.ids(p), np.int32) for p in template.pieces(role, text, first)]
+                parts = [np.asarray(encoder.ids(p)).astype(kind) for p in template.pieces(role, text, first)]
                 at = len(parts[0])
                 to = at + len(parts[1]) if role in template.learned else at
                 if len(memo) >= _MEMO:
@@ -136,7 +151,7 @@ def _chained(template: Template, tokenizer: str):
                 parent = node
                 raw = role.encode()
                 node = hashlib.blake2b(parent + len(raw).to_bytes(8, "little") + raw + text.encode(), digest_size=_KEY).digest()
-                n = len(data) // 4
+                n = len(data) // width
                 out.append((named, conv, idx, node, parent, position, n, at, to, data))
                 idx, position, size = idx + 1, position + n, size + len(data) + 100
                 if size > 1 << 23:
@@ -233,12 +248,11 @@ def _layout(turns: DataFrame) -> DataFrame:
     return out.mapInArrow(ends, "node binary, tree binary, part int, start long, until long")
 
 
-def _ids(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ids(it: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """Binary ids as arrays of numbers."""
     for b in it:
-        data = b.column("tokens")
-        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in data.to_pylist()])]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(data.to_pylist()), np.int32)))
+        data, offsets = buffers(b.column("tokens"))
+        ids = pa.ListArray.from_arrays(pa.array((offsets // int(kind[-1])).astype(np.int32)), pa.array(data.view(kind).astype(np.int32)))
         at = b.schema.names.index("tokens")
         yield pa.RecordBatch.from_arrays([ids if i == at else c for i, c in enumerate(b.columns)], ["token_ids" if i == at else n for i, n in enumerate(b.schema.names)])
 
@@ -254,20 +268,21 @@ def format_chats(convs: DataFrame, template: Template = LLAMA, tokenizer: str =
     nodes = turns.groupBy("node").agg(F.first(F.struct(*fields)).alias("v"), F.count("*").alias("conversations"), F.collect_set(_group()).alias("groups"))
     nodes = nodes.select("node", "v.*", "conversations", "groups").join(_layout(turns), "node")
     nodes = nodes.select("tree", "node", "parent", F.col("idx").alias("depth"), "conversations", "start", "until", "position", "n_tokens", "loss_from", "loss_to", "tokens", "groups", "part")
-    schema = ("tree binary, node binary, parent binary, depth int, conversations long, start long, until long, position long, n_tokens int, "
-              "loss_from int, loss_to int, token_ids array<int>, groups array<int>, part int")
-    laid = materialise(nodes.repartition("part").sortWithinPartitions("start").mapInArrow(_ids, schema))
-    return Formatted(laid.drop("part"), turns.select("named", "conv_id", "idx", "node"))
+    laid = materialise(nodes.repartition("part").sortWithinPartitions("start").drop("part"))
+    return Formatted(laid, turns.select("named", "conv_id", "idx", "node"), tokenizer)
 
 
-def read_back(formatted: Formatted, template: Template = LLAMA, tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
+def read_back(formatted: Formatted, template: Template = LLAMA) -> DataFrame:
     """The turns again, from the ids alone: named, conv_id, idx, role, text, loss (the
     text under the mask where it isn't the turn's), masked, n_chars."""
+    tokenizer = formatted.tokenizer
+
     def decode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = Encoder.of(tokenizer).encoding
+        encoding, kind = Encoder.of(tokenizer).encoding, bytes_of(tokenizer)
         for b in it:
             out = []
-            for node, groups, ids, at, to in zip(*(b.column(c).to_pylist() for c in ("node", "groups", "token_ids", "loss_from", "loss_to"))):
+            for node, groups, data, at, to in zip(*(b.column(c).to_pylist() for c in ("node", "groups", "tokens", "loss_from", "loss_to"))):
+                ids = np.frombuffer(data, kind).tolist()
                 whole = encoding.decode_bytes(ids).decode()
                 role, text = template.parse(whole)
                 loss = template.unescape(encoding.decode_bytes(ids[at:to]).decode()) if to > at else ""
@@ -276,7 +291,7 @@ def read_back(formatted: Formatted, template: Template = LLAMA, tokenizer: str =
             columns = list(zip(*out)) if out else [()] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["node", "groups", "role", "text", "loss", "masked", "n_chars"])
 
-    texts = (formatted.nodes.select("node", "groups", "token_ids", "loss_from", "loss_to")
+    texts = (formatted.stored.select("node", "groups", "tokens", "loss_from", "loss_to")
              .mapInArrow(decode, "node binary, groups array<int>, role string, text string, loss string, masked boolean, n_chars int"))
     texts = texts.withColumn("g", F.explode("groups")).drop("groups")
     return formatted.paths.withColumn("g", _group()).join(texts, ["node", "g"]).drop("node", "g")
