@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -224,15 +225,20 @@ def _fan_out(spark: SparkSession, stores: Stores, rows: DataFrame, batch_id: int
             by_run[str(r["processing_date"])] = by_run.get(str(r["processing_date"]), 0) + r["n"]
         count, low = sum(by_event.values()), sum(r["low"] for r in measured)
         if count:
-            put(new.select(*ARCHIVE_COLUMNS, "processing_date", "batch_key"), "cold", "processing_date", by_run)
-            put(new, "warehouse/staging_flight_events", "processing_date", by_run)
+            writes = [lambda: put(new, "hot", "event_date", by_event),
+                      lambda: put(new.select(*ARCHIVE_COLUMNS, "processing_date", "batch_key"), "cold", "processing_date", by_run),
+                      lambda: put(new, "warehouse/staging_flight_events", "processing_date", by_run)]
             if materialize:
                 # Fact and prediction rows are projections of staging; by default they are catalog
                 # views over it (create_warehouse), which saves two copies of every batch.
-                put(fact_projection(new).withColumn("batch_key", F.lit(bk)), "warehouse/fact_flight_events", "processing_date", by_run)
-                put(prediction_projection(new).withColumn("batch_key", F.lit(bk)), "warehouse/predictions", "prediction_date", by_run)
-            put(new, "hot", "event_date", by_event)
-            entries, index_schemas = key_index.add(new, root, bk, by_event)
+                writes += [lambda: put(fact_projection(new).withColumn("batch_key", F.lit(bk)), "warehouse/fact_flight_events", "processing_date", by_run),
+                           lambda: put(prediction_projection(new).withColumn("batch_key", F.lit(bk)), "warehouse/predictions", "prediction_date", by_run)]
+            # the stores do not depend on one another before the commit: their jobs share the cluster
+            with ThreadPoolExecutor(len(writes) + 1) as pool:
+                index = pool.submit(key_index.add, new, root, bk, by_event)
+                for done in [pool.submit(w) for w in writes]:
+                    done.result()
+                entries, index_schemas = index.result()
             add += entries
             schemas |= index_schemas
     finally:
