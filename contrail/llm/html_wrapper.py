@@ -214,19 +214,22 @@ class Page:
         return {block: crc32(" ".join("".join(parts).split()).encode("utf-8", "replace")) for block, parts in blocks.items()}
 
     def tree(self) -> list:
-        """[label, children, page marks, text mark, line marks] of the folded
-        tree; the text mark is of the node's own texts, the line marks are of
-        the distinct lines that they stand in."""
+        """[label, children, page marks, text mark, line marks, characters] of the
+        folded tree; the text mark is of the node's own texts, the line marks are of
+        the distinct lines that they stand in, the characters are of its texts under no role."""
         own: dict[int, list[str]] = {}
         lines: dict[int, set[int]] = {}
         marks = self.line_marks()
-        for e, block, t, _ in self.texts:
+        chars = [0] * len(self.fold_label)
+        for e, block, t, role in self.texts:
             if t := t.strip():
+                if not role:
+                    chars[self.fold[e]] += len("".join(t.split()))
                 own.setdefault(self.fold[e], []).append(t)
                 if not self.in_row[e]:
                     lines.setdefault(self.fold[e], set()).add(marks[block])
         page = crc32("\n".join(t for k in sorted(own) for t in own[k]).encode("utf-8", "replace"))
-        nodes = [[label, [], [page], crc32("\n".join(own.get(i, [])).encode("utf-8", "replace")), sorted(lines.get(i, ()))] for i, label in enumerate(self.fold_label)]
+        nodes = [[label, [], [page], crc32("\n".join(own.get(i, [])).encode("utf-8", "replace")), sorted(lines.get(i, ())), chars[i]] for i, label in enumerate(self.fold_label)]
         for i, kids in enumerate(self.children):
             nodes[i][1] = [nodes[k] for k in kids]
         return nodes[0]
@@ -281,7 +284,7 @@ def merge(a: list, b: list, memo: dict) -> list:
             kids.append(merge(a[1][x], b[1][y], memo))
         i, j = x + 1, y + 1
     marks = sorted({*a[2], *b[2]})[:MIN_PAGES]
-    return [a[0], kids, marks, a[3] if a[3] == b[3] else None, a[4] if a[4] == b[4] else sorted({*a[4]} & {*b[4]})]
+    return [a[0], kids, marks, a[3] if a[3] == b[3] else None, a[4] if a[4] == b[4] else sorted({*a[4]} & {*b[4]}), a[5] + b[5]]
 
 
 def merged(trees: list[list]) -> list:
@@ -330,13 +333,18 @@ class Slot(NamedTuple):
     constant: bool  # the same on all pages
 
 
-def shares(page: Page, slots: list[Slot]) -> tuple[int, int, int, int]:
-    """Characters that vary, outside and inside of marked articles, and that are constant."""
-    out = [0, 0, 0, 0]
-    for slot, (_, _, text, _) in zip(slots, page.texts):
-        if not slot.role:
-            out[2 * slot.constant + slot.inside] += len("".join(text.split()))
-    return tuple(out)
+def by_articles(wrapper: list) -> bool:
+    """Whether a host's marked articles hold most of what varies on its pages (of
+    all text, if nothing does)."""
+    held = [[0, 0], [0, 0]]
+    todo = [(wrapper, False)]
+    while todo:
+        node, inside = todo.pop()
+        inside = inside or node[0] in MAIN
+        held[len(node[2]) >= MIN_PAGES and node[3] is not None][inside] += node[5]
+        todo += [(c, inside) for c in node[1]]
+    outside, within = held[0] if any(held[0]) else held[1]
+    return within > outside
 
 
 def extract(page: Page, slots: list[Slot], articles: bool) -> str:
@@ -353,7 +361,7 @@ def extract(page: Page, slots: list[Slot], articles: bool) -> str:
 def overlaid(a: list, b: list) -> list:
     """Two trees of one layout as one; in any order the same."""
     marks = sorted({*a[2], *b[2]})[:MIN_PAGES]
-    return [a[0], [overlaid(x, y) for x, y in zip(a[1], b[1])], marks, a[3] if a[3] == b[3] else None, a[4] if a[4] == b[4] else sorted({*a[4]} & {*b[4]})]
+    return [a[0], [overlaid(x, y) for x, y in zip(a[1], b[1])], marks, a[3] if a[3] == b[3] else None, a[4] if a[4] == b[4] else sorted({*a[4]} & {*b[4]}), a[5] + b[5]]
 
 
 def signature(tree: list) -> str:
@@ -405,25 +413,27 @@ def _named(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string())], names=[*b.schema.names, "layout"])
 
 
+def _decided(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hosts' wrappers with whether the host goes by its articles."""
+    for b in it:
+        marked = [by_articles(json.loads(t)) for t in b.column("wrapper").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("wrapper"), pa.array(marked, pa.bool_())], names=["host", "wrapper", "marked"])
+
+
 def _read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages with their wrapper -> the content as a whole and of articles alone,
-    and the shares that tell which of them the host goes by."""
+    """Pages with their wrapper -> their content."""
     known: dict[str, list] = {}
     for b in it:
-        out = []
-        for source, wrapper in zip(b.column("html").to_pylist(), b.column("wrapper").to_pylist()):
+        texts = []
+        for source, wrapper, marked in zip(b.column("html").to_pylist(), b.column("wrapper").to_pylist(), b.column("marked").to_pylist()):
             if wrapper not in known:
                 if len(known) > 1000:
                     known.clear()
                 known[wrapper] = json.loads(wrapper) if wrapper else None
             page = Page(source)
-            slots = slots_of(page, known[wrapper])
-            whole, articles = extract(page, slots, False), extract(page, slots, True)
-            out.append((whole, None if articles == whole else articles, *shares(page, slots)))
-        columns = list(zip(*out)) if out else [()] * 6
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), b.column("host"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
-                                          *[pa.array(c, pa.int64()) for c in columns[2:]]],
-                                         names=["page_id", "url", "host", "whole", "articles", "varies_out", "varies_in", "same_out", "same_in"])
+            texts.append(extract(page, slots_of(page, known[wrapper]), bool(marked)))
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                                         names=["page_id", "url", "text", "n_chars"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -438,16 +448,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     trees = layouts
     for digits in STEPS:  # layouts of a host, merged in parts that their names give
         trees = trees.groupBy("host", F.substring("layout", 1, digits)).applyInArrow(_aligned_layouts, _LAYOUT) if digits else trees.groupBy("host").applyInArrow(_aligned_layouts, _LAYOUT)
-    wrappers = materialise(trees.select("host", "wrapper"))
+    wrappers = materialise(trees.select("host", "wrapper").mapInArrow(_decided, "host string, wrapper string, marked boolean"))
     # a tree begins with its label and children and holds its pages' marks third
     several = F.size(F.from_json(F.get_json_object("wrapper", "$[2]"), "array<long>")) >= MIN_PAGES
     own = layouts.where(several).select("host", "layout", F.col("wrapper").alias("own"))
     named = src.mapInArrow(_named, "page_id long, url string, html string, host string, layout string").join(own, ["host", "layout"], "left").join(wrappers, "host", "left")
-    read = materialise(named.select("page_id", "url", "html", "host", F.coalesce("own", "wrapper").alias("wrapper")).mapInArrow(
-        _read, "page_id long, url string, host string, whole string, articles string, varies_out long, varies_in long, same_out long, same_in long"))
-    # a host goes by its articles if they hold most of what varies on its pages (of all text, if nothing does)
-    total = read.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("varies_out", "varies_in", "same_out", "same_in")])
-    varies = F.col("varies_out") + F.col("varies_in") > 0
-    marked = total.select("host", F.when(varies, F.col("varies_in") > F.col("varies_out")).otherwise(F.col("same_in") > F.col("same_out")).alias("marked"))
-    text = F.when(F.col("marked"), F.coalesce("articles", "whole")).otherwise(F.col("whole"))
-    return read.join(marked, "host", "left").select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    return named.select("page_id", "url", "html", F.coalesce("own", "wrapper").alias("wrapper"), "marked").mapInArrow(_read, "page_id long, url string, text string, n_chars long")

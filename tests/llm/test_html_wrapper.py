@@ -31,7 +31,7 @@ def test_matching_is_the_best_alignment():
     rng = random.Random(1)
 
     def tree(depth):
-        return [rng.choice("abc"), [tree(depth - 1) for _ in range(rng.randrange(4) if depth else 0)], [], None, []]
+        return [rng.choice("abc"), [tree(depth - 1) for _ in range(rng.randrange(4) if depth else 0)], [], None, [], 0]
 
     for _ in range(300):
         a, b = tree(3), tree(3)

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm.common import Words
-from contrail.llm.html_wrapper import Page, extract, main_text, match, merged, shares, slots_of
+from contrail.llm.html_wrapper import Page, by_articles, extract, main_text, match, merged, slots_of
 from contrail.llm.license_scan import KNOWN, known_licenses, license_scan
 from contrail.llm.minhash_hamming import chunk_sizes, error_bound, near_duplicates, shingles, signatures
 from contrail.llm.packing import Encoder, combinations, nnls, pack, plan
@@ -301,9 +301,7 @@ def texts_of(sources):
     """Pages of one host, without Spark."""
     pages = [Page(x) for x in sources]
     wrapper = merged([p.tree() for p in pages])
-    slots = [slots_of(p, wrapper) for p in pages]
-    out, within, same_out, same_in = map(sum, zip(*map(shares, pages, slots)))
-    return [extract(p, s, within > out if within + out else same_in > same_out) for p, s in zip(pages, slots)]
+    return [extract(p, slots_of(p, wrapper), by_articles(wrapper)) for p in pages]
 
 
 def test_html_wrapper_constant_siblings():
