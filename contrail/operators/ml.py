@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
@@ -22,11 +23,21 @@ from pyspark.sql import functions as F
 from contrail.operators.insight import split
 from contrail.operators.predict import predict_b
 from contrail.operators.quality import field_modes, field_quantiles
+from contrail.session import checkpoint_dir
 
 NUMERIC_FEATURES = ["month", "day_of_week", "crs_dep_time", "distance", "dep_delay"]
 CATEGORICAL_FEATURES = ["airline_code", "origin", "dest"]
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder.  A fit reads its rows
+    some ten times (medians, modes, codes, moments, splits, trees, scores), and each
+    would join and split the history again."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), "training", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pick_target(columns, preferred: str | None = "arr_delay") -> str:
     """M1: the explicit target if present; otherwise the first column
     naming both "delay" and "minute", else the first naming "delay"."""
@@ -102,6 +113,7 @@ def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICA
 def fitted_features(spark: SparkSession, train: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES) -> DataFrame:
     """M2-M4: what the feature stages learn, one row each: field, fitted (median,
     mode, code, mean, std), value (text), number."""
+    train = stored(train.select(*numeric, *categorical))
     modes, medians = modes_of(train, categorical), medians_of(train, numeric)
     stages = build_pipeline("unused", numeric, categorical, modes=modes, medians=medians).getStages()[:-1]
     fitted = Pipeline(stages=stages).fit(train).stages

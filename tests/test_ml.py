@@ -58,3 +58,20 @@ def test_gbt_fits(spark):
     df = hot_history(spark, SF_SMALL)
     _, _, metrics = ml.train(df, target="arr_delay", model="gbt", max_iter=5)
     assert metrics.first()["n"] > 0
+
+
+def _counted(spark, df):
+    """``df`` with an accumulator of the rows that were read from it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    return df.withColumn("month", F.udf(seen, "int")(F.col("month"))), read
+
+
+def test_fitted_features_read_their_rows_once(spark):
+    df, read = _counted(spark, hot_history(spark, SF_SMALL))
+    assert ml.fitted_features(spark, df).count() > 0
+    assert read.value == df.count()
