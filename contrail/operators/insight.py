@@ -135,7 +135,12 @@ def sample(df: DataFrame, n: int = 500, seed: int = 42, key: str = "flight_id",
     return out.orderBy(_seeded_md5(key, seed), F.asc(key)).limit(n)
 
 
+def in_training(train_pct: int = 80, seed: int = 42, key: str = "flight_id"):
+    """Whether a row belongs to the training part, by a hash of its key."""
+    return F.conv(F.substring(_seeded_md5(key, seed), 1, 8), 16, 10).cast("long") % 100 < train_pct
+
+
 def split(df: DataFrame, train_pct: int = 80, seed: int = 42, key: str = "flight_id"):
     """Hash split by key, stable under repartitioning and retries."""
-    b = F.conv(F.substring(_seeded_md5(key, seed), 1, 8), 16, 10).cast("long") % 100
-    return df.where(b < train_pct), df.where(b >= train_pct)
+    b = in_training(train_pct, seed, key)
+    return df.where(b), df.where(~b)

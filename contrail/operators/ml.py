@@ -20,7 +20,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.operators.insight import split
+from contrail.operators.insight import in_training, split
 from contrail.operators.predict import predict_b
 from contrail.operators.quality import field_modes, field_quantiles
 from contrail.session import checkpoint_dir
@@ -137,18 +137,32 @@ def regression_metrics(pred: DataFrame, target: str, prediction: str = "predicti
                         (F.lit(1.0) - F.col("mse") / F.col("var_y")).alias("r2"))
 
 
+def training_rows(df: DataFrame, *, target: str | None = "arr_delay", numeric=NUMERIC_FEATURES, categorical=CATEGORICAL_FEATURES,
+                  train_pct: int = 80, seed: int = 42, key: str = "flight_id"):
+    """The training and the test part of the hash split, both stored in one run
+    over ``df``: the rows with a target, in the columns that a fit reads."""
+    target = pick_target(df.columns, target)
+    need = list(dict.fromkeys([*numeric, *categorical, target]))
+    rows = stored(df.where(F.col(target).isNotNull()).select(*need, in_training(train_pct, seed, key).alias("__train")))
+    return rows.where("__train").select(*need), rows.where("NOT __train").select(*need)
+
+
 def train(df: DataFrame, *, target: str | None = "arr_delay", numeric=NUMERIC_FEATURES,
           categorical=CATEGORICAL_FEATURES, model: str = "gbt", max_iter: int = 100,
-          num_trees: int = 50, train_pct: int = 80, seed: int = 42, key: str = "flight_id"):
+          num_trees: int = 50, train_pct: int = 80, seed: int = 42, key: str = "flight_id", rows=None, narrow: bool = False):
     """Fit on the hash-selected training part; returns (model, test
-    predictions, metrics DataFrame)."""
+    predictions, metrics DataFrame).  ``rows``: the ``training_rows`` of ``df``, for a
+    caller who fits more than once; ``narrow``: the predictions need no more columns than
+    these have (else all of ``df``, read anew)."""
     target = pick_target(df.columns, target)
     numeric = [c for c in numeric if c != target]
-    tr, te = split(df.where(F.col(target).isNotNull()), train_pct, seed, key)
+    part = {"train_pct": train_pct, "seed": seed, "key": key}
+    tr, te = rows or training_rows(df, target=target, numeric=numeric, categorical=categorical, **part)
     fitted = build_pipeline(target, numeric, categorical, modes=modes_of(tr, categorical), medians=medians_of(tr, numeric), model=model,
                             max_iter=max_iter, num_trees=num_trees, seed=seed).fit(tr)
-    pred = fitted.transform(te)
-    return fitted, pred, regression_metrics(pred, target)
+    scored = fitted.transform(te)
+    pred = scored if narrow else fitted.transform(split(df.where(F.col(target).isNotNull()), **part)[1])
+    return fitted, pred, stored(regression_metrics(scored, target))
 
 
 def save(model: PipelineModel, path: str, metrics: DataFrame, target: str,

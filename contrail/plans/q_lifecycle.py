@@ -225,11 +225,12 @@ def model_versions(spark, sf):
     second one published while the stream runs; each row names its own."""
     root, models = _scratch(spark, "versions"), _scratch(spark, "models")
     train = hot_history(spark, sf)
+    rows = ml.training_rows(train, target="arr_delay")  # both versions learn from them
     versions = {"v1.0": "rules"}
 
     def publish(batch_id):
         if batch_id in (1, 2) and len(versions) == batch_id:
-            fitted, _, metrics = ml.train(train, target="arr_delay", model="rf", num_trees=2 * batch_id)
+            fitted, _, metrics = ml.train(train, target="arr_delay", model="rf", num_trees=2 * batch_id, rows=rows, narrow=True)
             versions[registry.publish(spark, models, fitted, metrics, "arr_delay")] = {1: "first", 2: "second"}[batch_id]
 
     src = _event_files(spark, sf, 3)

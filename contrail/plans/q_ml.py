@@ -36,7 +36,7 @@ def model_train_eval(spark, sf):
     """M1-M8: random forest (the README's model) on the 80 % hash split of
     the history, scored on the other 20 %, saved with its metadata, with
     the mean-predictor baseline alongside.  No SQL twin (a fitted model)."""
-    fitted, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf")
+    fitted, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf", narrow=True)
     path = os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex[:12])
     ml.save(fitted, path, metrics, "arr_delay")
     return _with_baseline(metrics, pred)
@@ -46,7 +46,7 @@ def model_train_eval(spark, sf):
 def model_gbt_eval(spark, sf):
     """M5 + M7: gradient-boosted trees (100 rounds) on the 80 % hash split of
     the history, scored on the other 20 %.  No SQL twin (a fitted model)."""
-    _, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="gbt")
+    _, pred, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="gbt", narrow=True)
     return _with_baseline(metrics, pred)
 
 
@@ -79,7 +79,7 @@ def model_stream_inference(spark, sf):
     from contrail.sources.stream import encode_events
     from contrail.sources.tables import events_as_flights
     from contrail.streaming import ingest
-    fitted, _, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf")
+    fitted, _, metrics = ml.train(hot_history(spark, sf), target="arr_delay", model="rf", narrow=True)
     root = os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex[:12])
     ml.save(fitted, root, metrics, "arr_delay")
     model = ml.load(spark, [os.path.join(root, "missing"), root])

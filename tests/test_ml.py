@@ -75,3 +75,16 @@ def test_fitted_features_read_their_rows_once(spark):
     df, read = _counted(spark, hot_history(spark, SF_SMALL))
     assert ml.fitted_features(spark, df).count() > 0
     assert read.value == df.count()
+
+
+def test_training_reads_its_rows_once(spark):
+    df, read = _counted(spark, hot_history(spark, SF_SMALL))
+    rows = ml.training_rows(df, target="arr_delay")
+    for trees in (1, 2):
+        _, pred, metrics = ml.train(df, target="arr_delay", model="rf", num_trees=trees, rows=rows, narrow=True)
+        assert metrics.first()["n"] == pred.count()
+    assert read.value == df.where("arr_delay is not null").count()
+    tr, te = insight.split(hot_history(spark, SF_SMALL).where("arr_delay is not null"))
+    for stored, part in zip(rows, (tr, te)):
+        part = part.select(*stored.columns)
+        assert stored.count() == part.count() and not stored.exceptAll(part).count()
