@@ -13,8 +13,9 @@ is compared with the smallest document of its group.
 
 Defined cases: null text has no words; a text of fewer words than
 ``min_words`` loses nothing; documents of equal id never cost each other
-anything; a null id sorts last and stays null; repeated rows are kept as rows;
-an empty table gives an empty result; other columns are ignored.
+anything; a null id sorts last, beside the largest long, and stays null;
+repeated rows are kept as rows; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from contrail.llm.common import NULL_ID, Words
+from contrail.llm.common import Words
 from contrail.llm.repeats import Shape, each_document, remove_repeats
 
 SEED_WORDS = 5
@@ -83,7 +84,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 13, id_col: str = "doc_id"
                     piece = b""
                 doc = int(b.ids[i])
                 spans = [[x - a, y - a] for x, y in zip(lo[s].tolist(), hi[s].tolist())]
-                rows.append((None if doc == NULL_ID else doc, z - a, z - a - n_kept, hashlib.sha256(piece).hexdigest(), spans) + ((piece.decode("utf-8", "replace"), hashlib.sha256(b.buf[b.offsets[i]:b.offsets[i + 1]].tobytes()).hexdigest()) if with_text else ()))
+                rows.append((None if b.no_id[i] else doc, z - a, z - a - n_kept, hashlib.sha256(piece).hexdigest(), spans) + ((piece.decode("utf-8", "replace"), hashlib.sha256(b.buf[b.offsets[i]:b.offsets[i + 1]].tobytes()).hexdigest()) if with_text else ()))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
     return remove_repeats(docs, shape, WordSequence, finish,

@@ -67,6 +67,14 @@ def test_suffix_dedup(docs, none):
     assert Counter(tuple(r)[:5] for r in again.collect()) == Counter(got + got)
 
 
+def test_repeats_keep_the_largest_id(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(2**63 - 1, text), (None, "another " + text), (-2**63, "other"), (3, text)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r)[:5] for r in suffix_dedup(table).collect()) == Counter(brute.suffix_dedup(rows))
+    assert Counter(tuple(r)[:4] for r in substring_dedup(table).collect()) == Counter(brute.substring_dedup(rows))
+
+
 def test_substring_dedup(docs, none):
     got = [tuple(r)[:4] for r in substring_dedup(docs).collect()]
     assert Counter(got) == Counter(brute.substring_dedup(hard_rows()))
