@@ -2,7 +2,7 @@
 
 Pipeline: median fill (numbers, exact) and mode fill (strings) -> ``StringIndexer``
 (alphabetical codes, unseen/missing kept) -> ``VectorAssembler`` ->
-``StandardScaler`` -> ``GBTRegressor`` (or ``RandomForestRegressor``).
+``StandardScaler`` -> ``GBTRegressor`` (fitted by ``boosting``; or ``RandomForestRegressor``).
 Every stage is fitted on the training part only (the reference fits the
 encoders and medians before its split).  The split is a hash of the id,
 stable under repartitioning and retries.
@@ -16,10 +16,11 @@ import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators.boosting import PackedGBTRegressor
 from contrail.operators.insight import in_training, split
 from contrail.operators.predict import predict_b
 from contrail.operators.quality import field_modes, field_quantiles
@@ -99,8 +100,8 @@ def build_pipeline(target: str, numeric=NUMERIC_FEATURES, categorical=CATEGORICA
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
     ]
     if model == "gbt":
-        stages.append(GBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
-                                   maxIter=max_iter, seed=seed, maxBins=64))
+        stages.append(PackedGBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
+                                         maxIter=max_iter, seed=seed, maxBins=64))
     elif model == "rf":
         stages.append(RandomForestRegressor(featuresCol="features", labelCol=target,
                                             predictionCol="prediction", numTrees=num_trees, seed=seed,
